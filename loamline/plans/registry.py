@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loamline.plans import air_quality
+from loamline.plans import air_quality, market_prices
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "p4_prices": market_prices.p4_prices,
+        "p4_found": market_prices.p4_found,
+        "p4_imputed": market_prices.p4_imputed,
         "p5_grid": air_quality.p5_grid,
         "p5_found": air_quality.p5_found,
         "p6_flags": air_quality.p6_flags,
