@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -140,7 +141,7 @@ def _block(rows: pa.Table, measures: dict[str, Measure], min_run: int) -> pa.Tab
             if hit.any():
                 n = int(hit.sum())
                 out.add(kind, name, context[hit].tolist(), ids[hit].tolist(), far[one][hit].tolist(), [None] * n, [None] * n)
-    return out.table(rows.column("_s")[0].as_py())
+    return out.table(rows.column("_s")[0].as_py() if rows.num_rows else 0)
 
 
 _OUT = "kind string, _s long, measure string, _context int, _id long, far double, buckets array<int>, counts array<long>"
@@ -187,40 +188,39 @@ def flag_implausible(
         "reason", F.lit(IMPOSSIBLE)
     )
 
-    placed = base.where(F.col("_m") >= F.unix_micros(F.lit(not_before).cast("timestamp")))
-    placed = placed.withColumn("_hour", F.expr(f"_m div {slot}")).withColumn(
-        "_context", F.expr(f"cast((_hour % 24) div {hours_per_context} as int)")
+    # sources with more than one block: their hours, with a running count, give the blocks' borders
+    counts = base.groupBy("_s").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_block).select("_s")
+    large = cut_lineage(counts)
+    hours = (
+        base.join(large, "_s", "left_semi").groupBy("_s", F.expr(f"_m div {slot}").alias("_hour")).agg(F.count(F.lit(1)).alias("_c"))
     )
-    # blocks: only sources with more than one block need their hours looked up
-    hours = placed.groupBy("_s", "_hour").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy("_s").orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("_s")
-    blocks = (
-        hours.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-        .withColumn("_total", F.sum("_c").over(whole))
-        .where(F.col("_total") > rows_per_block)
-        .select("_s", "_hour", F.expr(f"_before div {rows_per_block}").alias("_b"))
+    before = Window.partitionBy("_s").orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = hours.withColumn("_a", F.coalesce(F.sum("_c").over(before), F.lit(0))).withColumn("_z", F.col("_a") + F.col("_c"))
+    # an hour belongs to one block, and lies in the halo of the neighbouring block if it is within HALO readings of it
+    hours = hours.withColumn(
+        "_own", (F.dense_rank().over(Window.partitionBy("_s").orderBy(F.floor(F.col("_a") / rows_per_block))) - 1).cast("long")
     )
-    blocks = cut_lineage(blocks)
-    blocked = placed.join(blocks, ["_s", "_hour"], "left").withColumn("_block", F.coalesce("_b", F.lit(-1))).drop("_b", "_hour")
-    own = blocked.withColumn("_halo", F.lit(False))
-    # the edges of the blocks of large sources, seen by the neighbouring block
-    spans = blocks.select("_s", F.col("_b").alias("_block")).distinct()
-    v = Window.partitionBy("_s").orderBy("_block")
-    spans = spans.select("_s", "_block", F.lag("_block").over(v).alias("_prev"), F.lead("_block").over(v).alias("_next"))
-    many = blocked.where(F.col("_block") >= 0)
-    first = Window.partitionBy("_s", "_block").orderBy("_m", "_id")
-    last = Window.partitionBy("_s", "_block").orderBy(F.desc("_m"), F.desc("_id"))
-    edge = many.withColumn("_i", F.row_number().over(first)).withColumn("_j", F.row_number().over(last))
-    edge = edge.where((F.col("_i") <= HALO) | (F.col("_j") <= HALO)).join(spans, ["_s", "_block"])
-    to = F.array_compact(F.array(F.when(F.col("_i") <= HALO, F.col("_prev")), F.when(F.col("_j") <= HALO, F.col("_next"))))
-    halo = edge.select("_s", "_id", "_m", *names, "_context", F.explode(to).alias("_block"), F.lit(True).alias("_halo"))
-    columns = ["_s", "_id", "_m", *names, "_context", "_block", "_halo"]
+    mine = Window.partitionBy("_s", "_own")
+    to = F.array_compact(F.array(
+        F.col("_own"),
+        F.when((F.col("_own") > 0) & (F.col("_a") - F.min("_a").over(mine) < HALO), F.col("_own") - 1),
+        F.when(F.max("_z").over(mine) - F.col("_z") < HALO, F.col("_own") + 1),  # beyond the last block: an empty one
+    ))
+    seen = cut_lineage(hours.select("_s", "_hour", "_own", to.alias("_to")))
+    # no filter on the instant here: it is parsed once, in this projection, and rows without a place leave in each()
+    placed = base.withColumn("_hour", F.expr(f"_m div {slot}")).join(seen, ["_s", "_hour"], "left")
+    rows = placed.select(
+        "_s", "_id", "_m", *names, F.expr(f"cast((_hour % 24) div {hours_per_context} as int)").alias("_context"),
+        F.coalesce("_own", F.lit(-1)).alias("_own"), F.explode(F.coalesce("_to", F.array(F.lit(-1).cast("long")))).alias("_block"),
+    ).withColumn("_halo", F.col("_block") != F.col("_own")).drop("_own")
+    least = F.unix_micros(F.lit(not_before).cast("timestamp"))
+    earliest = int(readings.sparkSession.range(1).select(least.alias("x")).first()["x"])
 
     def each(rows: pa.Table) -> pa.Table:
-        return _block(rows, measures, min_run)
+        at = rows.column("_m")
+        return _block(rows.filter(pc.fill_null(pc.greater_equal(at, earliest), False)), measures, min_run)
 
-    found = own.select(columns).unionByName(halo.select(columns)).groupBy("_s", "_block").applyInArrow(each, _OUT)
+    found = rows.groupBy("_s", "_block").applyInArrow(each, _OUT)
     found = cut_lineage(found)  # candidates and sketches only, a small part of the readings
 
     merged = (
