@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from loamline.catalog import Sources
 from loamline.functions.urls import normalise_url
+from loamline.llm.main_content import main_content_lines, main_content_text
 from loamline.llm.near_duplicates import near_duplicate_groups, words_of
+from loamline.llm.residue import drop_residue, residue_of
 
 TITLE_ALIKE = 0.6
 
@@ -26,3 +28,40 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = groups.select("grp", F.col("item_id").alias("item_id_a"))
     b = groups.select("grp", F.col("item_id").alias("item_id_b"))
     return a.join(b, "grp").where("item_id_a < item_id_b").select("item_id_a", "item_id_b")
+
+
+def _chunks(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
+    chunks = Sources(spark, sf_dir).table("pdf_chunks").select("id", "text", F.col("metadata.doc_kind").alias("doc_kind"), F.col("metadata.title").alias("title"))
+    return chunks.where(F.col("doc_kind").isin(*kinds)) if kinds else chunks
+
+
+def p3_residue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every chunk with the reason, if any, to leave it out."""
+    return residue_of(_chunks(spark, sf_dir), "id", "text")
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks in which residue stands in place of content."""
+    return p3_residue(spark, sf_dir).where((F.col("reason") != "") & F.col("id").isNotNull()).select("id").distinct()
+
+
+def p3_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The collection without residue."""
+    return drop_residue(_chunks(spark, sf_dir), "text")
+
+
+def p7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of every web page that holds content, and whether it is headline or article."""
+    pages = drop_residue(_chunks(spark, sf_dir, "news"), "text").where(F.col("id").isNotNull())
+    return main_content_lines(pages, "id", "text", "title")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are not headline or article."""
+    return p7_lines(spark, sf_dir).where(~F.col("is_main")).select("id", "line_no").distinct()
+
+
+def p7_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page's main content as one text."""
+    pages = drop_residue(_chunks(spark, sf_dir, "news"), "text")
+    return main_content_text(pages, "text", "title")

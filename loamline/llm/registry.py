@@ -6,7 +6,16 @@ from loamline.llm import queries as q
 
 
 def queries() -> dict:
-    return {"p2_groups": q.p2_groups, "p2_found": q.p2_found}
+    return {
+        "p2_groups": q.p2_groups,
+        "p2_found": q.p2_found,
+        "p3_residue": q.p3_residue,
+        "p3_found": q.p3_found,
+        "p3_kept": q.p3_kept,
+        "p7_lines": q.p7_lines,
+        "p7_found": q.p7_found,
+        "p7_pages": q.p7_pages,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
