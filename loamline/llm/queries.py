@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from loamline.catalog import Sources
 from loamline.functions.urls import normalise_url
+from loamline.llm.leakage import leaked_items
 from loamline.llm.main_content import main_content_lines, main_content_text
 from loamline.llm.near_duplicates import near_duplicate_groups, words_of
 from loamline.llm.residue import drop_residue, residue_of
+from loamline.llm.splitting import split_oversized
+from loamline.llm.subjects import subject_shares
 
 TITLE_ALIKE = 0.6
 
@@ -65,3 +68,51 @@ def p7_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each page's main content as one text."""
     pages = drop_residue(_chunks(spark, sf_dir, "news"), "text")
     return main_content_text(pages, "text", "title")
+
+
+def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every chunk in pieces within the limit of its kind."""
+    at = Sources(spark, sf_dir)
+    chunks = at.table("pdf_chunks").select("id", "text", F.col("metadata.doc_kind").alias("doc_kind"), F.col("metadata.ingest_version").alias("ingest_version"))
+    return split_oversized(chunks, "text", "doc_kind", at.table("chunk_profiles"), ["id", "ingest_version", "doc_kind"])
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks that had to be cut."""
+    return p1_pieces(spark, sf_dir).where((F.col("n_pieces") > 1) & F.col("id").isNotNull()).select("id").distinct()
+
+
+def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of held-out items, in order or reordered, with the share of the item that they cover."""
+    at = Sources(spark, sf_dir)
+    return leaked_items(at.table("documents"), "doc_id", "text", at.table("eval_items"), "item_id", "text")
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold at least 12 successive words of an item."""
+    return p8_leaks(spark, sf_dir).where(F.col("longest") >= 12).select("doc_id", "item_id").distinct()
+
+
+MAX_SUBJECTS, MAX_HELD_OUT = 1_000, 100_000  # bounds of the tables that are read to the driver
+
+
+def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of each subject in each document's sentences."""
+    at = Sources(spark, sf_dir)
+    subjects = [r["subject"] for r in at.table("subject_areas").select("subject").distinct().orderBy("subject").limit(MAX_SUBJECTS).collect()]
+    held_out = [(r["item_id"], r["text"]) for r in at.table("eval_items").where("item_id is not null and text is not null").select("item_id", "text").limit(MAX_HELD_OUT).collect()]
+    return subject_shares(
+        at.table("documents"), "doc_id", "text", subjects, at.table("document_labels"), held_out, address="publisher", source="source"
+    )
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subjects with which at least a quarter of a document's sentences deal."""
+    return p10_shares(spark, sf_dir).where(F.col("share") >= 0.25).select("doc_id", "subject")
+
+
+def p10_make_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Make-up of the corpus by subject: documents and sentences."""
+    return p10_shares(spark, sf_dir).groupBy("subject").agg(
+        F.count_if(F.col("share") >= 0.25).alias("documents"), F.sum("sentences").alias("sentences")
+    )

@@ -7,6 +7,8 @@ from loamline.llm import queries as q
 
 def queries() -> dict:
     return {
+        "p1_pieces": q.p1_pieces,
+        "p1_found": q.p1_found,
         "p2_groups": q.p2_groups,
         "p2_found": q.p2_found,
         "p3_residue": q.p3_residue,
@@ -15,6 +17,11 @@ def queries() -> dict:
         "p7_lines": q.p7_lines,
         "p7_found": q.p7_found,
         "p7_pages": q.p7_pages,
+        "p8_leaks": q.p8_leaks,
+        "p8_found": q.p8_found,
+        "p10_shares": q.p10_shares,
+        "p10_found": q.p10_found,
+        "p10_make_up": q.p10_make_up,
     }
 
 

@@ -164,6 +164,8 @@ class Verdict:
 
 def _mash(words: list[str]) -> bool:
     """Keys struck at random, or one word over and over."""
+    if len(words) >= 3 and len(set(words)) == 1:
+        return True
     if len(words) < 4:
         return len(words) >= 2 and _struck("".join(words))
     if len(set(words)) <= max(1, len(words) // 4):
