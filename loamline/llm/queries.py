@@ -9,6 +9,7 @@ from loamline.catalog import Sources
 from loamline.functions.urls import normalise_url
 from loamline.llm.leakage import leaked_items
 from loamline.llm.main_content import main_content_lines, main_content_text
+from loamline.llm.mixing import mix_sources, tokens_of
 from loamline.llm.near_duplicates import near_duplicate_groups, words_of
 from loamline.llm.residue import drop_residue, residue_of
 from loamline.llm.splitting import split_oversized
@@ -93,6 +94,18 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_leaks(spark, sf_dir).where(F.col("longest") >= 12).select("doc_id", "item_id").distinct()
 
 
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each document is used so that sources reach their target shares."""
+    at = Sources(spark, sf_dir)
+    return mix_sources(at.table("documents"), "doc_id", "source", tokens_of(F.col("text")), at.table("mix_targets"))[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares wanted and reached, per source."""
+    at = Sources(spark, sf_dir)
+    return mix_sources(at.table("documents"), "doc_id", "source", tokens_of(F.col("text")), at.table("mix_targets"))[1]
+
+
 MAX_SUBJECTS, MAX_HELD_OUT = 1_000, 100_000  # bounds of the tables that are read to the driver
 
 

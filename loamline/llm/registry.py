@@ -19,6 +19,8 @@ def queries() -> dict:
         "p7_pages": q.p7_pages,
         "p8_leaks": q.p8_leaks,
         "p8_found": q.p8_found,
+        "p9_mix": q.p9_mix,
+        "p9_shares": q.p9_shares,
         "p10_shares": q.p10_shares,
         "p10_found": q.p10_found,
         "p10_make_up": q.p10_make_up,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from loamline.llm.leakage import Items, rolling
 from loamline.session import cut_lineage
 
-MAX_LABELLED = 20_000  # documents of the labelled sample that the word model is fitted on
+MAX_LABELLED = 10_000  # documents of the labelled sample that the word model is fitted on
 MAX_SOURCES = 10_000  # sources whose usual subject is learned
 PASSAGE_RUN = 4  # successive words that a passage of a held-out item shares with it
 
@@ -102,27 +102,30 @@ class WordModel:
         self.rows: dict[str, int] = {}
         self.odds = np.zeros((1, len(subjects)), dtype=np.float32)
 
-    def fit(self, texts: list[str], labels: list[list[int]], passages: Passages, rounds: int = 6, shrink: float = 4.0) -> WordModel:
-        """Sentences get soft subjects within their document's labels, words get odds from those sentences, and again; wrong
-        labels yield to the words. Sentences of held-out passages teach nothing."""
+    def fit(self, texts: list[str], labels: list[list[int]], passages: Passages, rounds: int = 3, shrink: float = 0.5) -> WordModel:
+        """Sentences get soft subjects within their document's labels and near those of their paragraph, words get odds from
+        those sentences, and again; wrong labels yield to the words. Sentences of held-out passages teach nothing."""
         k = len(self.subjects)
         lexicon = {w: i for i, s in enumerate(self.subjects) for w in LEXICON.get(s, "").lower().split()}
         number: dict[str, int] = {}
         for w in lexicon:
             number.setdefault(w, len(number))
-        cells, owner, doc_of = array("i"), array("i"), array("i")
+        cells, owner, doc_of, para_of = array("i"), array("i"), array("i"), array("i")
         for at in range(0, len(texts), 500):
-            parts, document, _ = split_documents(texts[at : at + 500])
+            parts, document, paragraph = split_documents(texts[at : at + 500])
             skip = passages.of(parts)
-            for words, d, aside in zip(parts, document, skip):
+            for words, d, p, aside in zip(parts, document, paragraph, skip):
                 if aside:
                     continue
                 ids = {number.setdefault(w, len(number)) for w in words if w and not w[0].isdigit()}
                 cells.extend(ids)
                 owner.extend([len(doc_of)] * len(ids))
                 doc_of.append(at + d)
+                para_of.append(p)
         cell, own, doc = np.array(cells, dtype=np.int64), np.array(owner, dtype=np.int64), np.array(doc_of, dtype=np.int64)
         in_docs = np.bincount(np.unique(cell * (len(texts) + 1) + doc[own]) // (len(texts) + 1), minlength=len(number)) if len(cell) else np.zeros(len(number))
+        _, place = np.unique(doc * 100_003 + np.array(para_of, dtype=np.int64), return_inverse=True) if len(doc) else (None, doc)
+        size = np.bincount(place) if len(place) else np.zeros(0)
         prior = np.full((max(1, len(texts)), k), 0.1 / k)
         for d, mine in enumerate(labels):
             for s in mine:
@@ -140,7 +143,8 @@ class WordModel:
             odds = np.log((count + shrink * share) / (count.sum(axis=1, keepdims=True) + shrink) / share)
             score = np.log(prior)[doc]
             for s in range(k):
-                score[:, s] += np.bincount(own, weights=odds[cell, s], minlength=len(doc))
+                near = np.bincount(place, weights=soft[:, s], minlength=len(size))
+                score[:, s] += np.bincount(own, weights=odds[cell, s], minlength=len(doc)) + np.log((near[place] + 0.05) / (size[place] + 0.05 * k))
             soft = np.exp(score - score.max(axis=1, keepdims=True))
             soft /= soft.sum(axis=1, keepdims=True)
         keep = (np.abs(odds).max(axis=1) > 0.4) & ((in_docs >= (2 if len(texts) < 1000 else 4)) | (seed.max(axis=1) > 0))
