@@ -312,8 +312,11 @@ def subject_shares(
         F.col(doc_id).cast("long").alias("_doc"), F.col(text).alias("_text"), F.col(address).cast("string").alias("address"), F.col(source).cast("string").alias("source")
     ).where(F.col("_doc").isNotNull() & F.col("_text").isNotNull())
     named = labels.select(F.col(doc_id).cast("long").alias("_doc"), "subject").where(F.col("_doc").isNotNull() & F.col("subject").isin(subjects)).distinct()
-    sample = named.groupBy("_doc").agg(F.sort_array(F.collect_set("subject")).alias("said")).orderBy(F.xxhash64("_doc"), "_doc").limit(MAX_LABELLED)
-    drawn = rows.join(F.broadcast(sample), "_doc").orderBy(F.xxhash64("_doc")).limit(MAX_LABELLED).select("_text", "said").toPandas()
+    said = named.groupBy("_doc").agg(F.sort_array(F.collect_set("subject")).alias("said"))
+    drawn_share = min(1.0, 0.95 * MAX_LABELLED / max(1, said.count()))  # by hash: a retry draws the same documents
+    by_hash = F.pmod(F.xxhash64("_doc", F.lit(11)), F.lit(1_000_003)) < drawn_share * 1_000_003
+    sample = cut_lineage(said.where(by_hash).limit(MAX_LABELLED))
+    drawn = rows.join(F.broadcast(sample), "_doc").dropDuplicates(["_doc"]).select("_doc", "_text", "said").toPandas().sort_values("_doc")
     passages = Passages(held_out)
     model = WordModel(subjects).fit(drawn["_text"].tolist(), [[index[s] for s in x] for x in drawn["said"]], passages)
     lexicon = WordModel(subjects).fit([], [], passages)
