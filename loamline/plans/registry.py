@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loamline.plans import air_quality, market_prices
+from loamline.plans import air_quality, coverage, market_prices, soil, star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        **star.queries(),
+        **coverage.queries(),
+        **soil.queries(),
         "p4_prices": market_prices.p4_prices,
         "p4_found": market_prices.p4_found,
         "p4_imputed": market_prices.p4_imputed,
@@ -24,4 +27,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {**star.oracle_sql(), **coverage.oracle_sql(), **soil.oracle_sql()}
