@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loamline.plans import air_quality, coverage, market_prices, soil, star
+from loamline.plans import air_quality, chat, chunks, coverage, documents, market_prices, search, soil, star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def queries() -> dict[str, Query]:
         **star.queries(),
         **coverage.queries(),
         **soil.queries(),
+        **documents.queries(),
+        **search.queries(),
+        **chunks.queries(),
+        **chat.queries(),
         "p4_prices": market_prices.p4_prices,
         "p4_found": market_prices.p4_found,
         "p4_imputed": market_prices.p4_imputed,
@@ -27,4 +31,6 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**star.oracle_sql(), **coverage.oracle_sql(), **soil.oracle_sql()}
+    return {
+        **star.oracle_sql(), **coverage.oracle_sql(), **soil.oracle_sql(), **documents.oracle_sql(), **search.oracle_sql(), **chat.oracle_sql(),
+    }
