@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamline.llm.groups import connected
+from loamline.operators.components import connected
 
 IDF_POWER = 2.5  # how strongly rare shingles prevail in the sampling
 ROWS, BANDS = 3, 80  # a pair of weighted similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS
