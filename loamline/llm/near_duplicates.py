@@ -10,9 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamline.operators.components import connected
+from loamline.session import cut_lineage
 
 IDF_POWER = 2.5  # how strongly rare shingles prevail in the sampling
 ROWS, BANDS = 3, 80  # a pair of weighted similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS
+# The same with all weights one: where a large part of all records shares its wording, those shingles weigh next to nothing by
+# idf, and records that differ in a rare one only would look unlike.
+EVEN_ROWS, EVEN_BANDS = 10, 30
 LARGE_BUCKET = 40  # beyond it a bucket is compared with one member first, and only the rest with all
 
 
@@ -58,11 +62,25 @@ def _samples(keys: np.ndarray, weights: np.ndarray, draws: int) -> tuple[np.ndar
     return time.astype(np.float32), sample
 
 
+def _even_samples(keys: np.ndarray, draws: int) -> np.ndarray:
+    """With equal weights a set's sample is the shingle of its least hash, and that hash names it."""
+    draw = _mix((np.arange(1, draws + 1, dtype=np.uint64) + np.uint64(1 << 20)) * np.uint64(0x9E3779B97F4A7C15))
+    return _mix(keys[:, None] ^ draw[None, :])
+
+
+def _joined(chosen: np.ndarray, salt: int) -> np.ndarray:
+    """One key for each band of samples."""
+    key = _mix(np.arange(len(chosen), dtype=np.uint64) + np.uint64(salt))
+    for j in range(chosen.shape[1]):
+        key = _mix(key ^ chosen[:, j])
+    return key
+
+
 def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(set_id, key) for each band of each set; shingle hashes and weights come as arrays."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            part = batch.slice(at, 1000)
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
             hashes, weights = part.column(1), part.column(2)
             starts = np.asarray(hashes.offsets)
             lengths = np.diff(starts)
@@ -70,25 +88,22 @@ def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             unique, first, where = np.unique(values, return_index=True, return_inverse=True)
             time, sample = _samples(unique, weights.flatten().to_numpy(zero_copy_only=False)[first], ROWS * BANDS)
             ids = part.column(0).to_numpy()
-            out = np.empty((part.num_rows, BANDS), dtype=np.uint64)
+            even = _even_samples(unique, EVEN_ROWS * EVEN_BANDS)
+            out = np.empty((part.num_rows, BANDS + EVEN_BANDS), dtype=np.uint64)
             begin = np.r_[0, np.cumsum(lengths)]
-            salt = _mix(np.arange(BANDS, dtype=np.uint64) + np.uint64(77))
+            draws = np.arange(ROWS * BANDS)
             for i in range(part.num_rows):
                 mine = where[begin[i] : begin[i + 1]]
-                least = time[mine].argmin(axis=0)
-                chosen = sample[mine[least], np.arange(ROWS * BANDS)].reshape(BANDS, ROWS)
-                key = salt
-                for j in range(ROWS):
-                    key = _mix(key ^ chosen[:, j])
-                out[i] = key
-            yield pa.record_batch([pa.array(np.repeat(ids, BANDS)), pa.array(out.reshape(-1).view(np.int64))], names=["set_id", "key"])
+                out[i, :BANDS] = _joined(sample[mine[time[mine].argmin(axis=0)], draws].reshape(BANDS, ROWS), 77)
+                out[i, BANDS:] = _joined(even[mine].min(axis=0).reshape(EVEN_BANDS, EVEN_ROWS), 7777)
+            yield pa.record_batch([pa.array(np.repeat(ids, BANDS + EVEN_BANDS)), pa.array(out.reshape(-1).view(np.int64))], names=["set_id", "key"])
 
 
 def similar_sets(sets: DataFrame, threshold: float, *, weighted: bool = False) -> DataFrame:
     """``(a, b, similarity)``, a < b: pairs of the distinct sets ``(set_id, shingles)`` at least ``threshold`` alike.
 
-    Candidates share a band of consistent weighted samples (weights: idf to the power IDF_POWER, counted over all sets) and
-    are then verified on their shingles: by weighted Jaccard similarity with those weights, or, unless ``weighted``, with all
+    Candidates share a band of consistent weighted samples (weights: idf to the power IDF_POWER, counted over all sets; and,
+    in further bands, all weights one) and are then verified on their shingles: by weighted Jaccard similarity with those weights, or, unless ``weighted``, with all
     weights one. A pair is verified once however many bands it shares. A bucket of more than LARGE_BUCKET sets never gives all
     its pairs: its members are verified against its first one; members unlike it are compared with the whole bucket, the
     others are linked through it, so that no group falls apart.
@@ -97,14 +112,14 @@ def similar_sets(sets: DataFrame, threshold: float, *, weighted: bool = False) -
     terms = sets.select("set_id", F.explode("shingles").alias("s"))
     weight = F.pow(F.log1p(F.lit(float(max(n, 1))) / F.col("df")), F.lit(IDF_POWER))
     frequency = terms.groupBy("s").agg(F.count(F.lit(1)).alias("df")).select("s", weight.alias("w"))
-    hashed = (
+    hashed = cut_lineage(
         terms.join(frequency, "s").groupBy("set_id")
         .agg(F.sort_array(F.collect_list(F.struct(F.xxhash64("s").alias("h"), F.col("w")))).alias("x"))
         .select("set_id", F.col("x.h").alias("h"), F.col("x.w").alias("w"))
     )
     bands = hashed.mapInArrow(_band_keys, "set_id long, key long").repartition("key")
     buckets = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("set_id").alias("first")).where(F.col("size") > 1)
-    members = bands.join(buckets, "key")
+    members = cut_lineage(bands.join(buckets, "key"))  # most keys are a set's alone and end here
     small = members.where(F.col("size") <= LARGE_BUCKET).select("key", "set_id")
     pairs = small.select("key", F.col("set_id").alias("a")).join(small.select("key", F.col("set_id").alias("b")), "key").where("a < b").select("a", "b")
     large = members.where((F.col("size") > LARGE_BUCKET) & (F.col("set_id") != F.col("first")))
@@ -124,7 +139,7 @@ def similar_sets(sets: DataFrame, threshold: float, *, weighted: bool = False) -
             ratio = shared / (F.size("ha") + F.size("hb") - shared)
         return both.select("a", "b", ratio.alias("similarity")).where(F.col("similarity") >= threshold - 1e-12)
 
-    close = verified(pairs.union(to_first))
+    close = cut_lineage(verified(pairs.union(to_first)))
     apart = large.select("key", F.col("first").alias("a"), F.col("set_id").alias("b")).join(close, ["a", "b"], "left_anti")
     crossed = (
         apart.select("key", F.col("b").alias("x")).join(large.select("key", F.col("set_id").alias("y")), "key").where("x != y")
