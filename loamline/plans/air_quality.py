@@ -33,3 +33,28 @@ def p6_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct implausible readings and measures."""
     return p6_flags(spark, sf_dir).select("reading_id", "measure").distinct()
+
+
+_INSTANT = """CASE WHEN regexp_full_match(t, '[0-9]{1,11}') THEN to_timestamp(CAST(t AS BIGINT)) AT TIME ZONE 'UTC'
+ WHEN regexp_full_match(t, '[0-9]{12,14}') THEN to_timestamp(CAST(t AS BIGINT) / 1000.0) AT TIME ZONE 'UTC'
+ WHEN regexp_full_match(t, '[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9:]{8}Z?') THEN TRY_CAST(replace(replace(t, 'T', ' '), 'Z', '') AS TIMESTAMP)
+ WHEN regexp_full_match(t, '[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9:]{8}[+][0-9]{2}:[0-9]{2}') THEN TRY_CAST(substr(t, 1, 19) AS TIMESTAMP) - to_minutes(CAST(substr(t, 21, 2) AS INTEGER) * 60 + CAST(substr(t, 24, 2) AS INTEGER))
+ WHEN regexp_full_match(t, '[0-9]{2}[.][0-9]{2}[.][0-9]{4} [0-9:]{8}') THEN TRY_CAST(substr(t, 7, 4) || '-' || substr(t, 4, 2) || '-' || substr(t, 1, 2) || substr(t, 11) AS TIMESTAMP)
+ WHEN regexp_full_match(t, '[0-9]{8}T[0-9]{6}Z') THEN TRY_CAST(substr(t, 1, 4) || '-' || substr(t, 5, 2) || '-' || substr(t, 7, 2) || ' ' || substr(t, 10, 2) || ':' || substr(t, 12, 2) || ':' || substr(t, 14, 2) AS TIMESTAMP) END"""
+_SLOTS = f"""WITH r AS (SELECT sensor_id, trim(timestamp) AS t, pm2_5 FROM nakuru_air_quality_archive WHERE pm2_5 IS NOT NULL AND NOT isnan(pm2_5)),
+ u AS (SELECT sensor_id, date_trunc('hour', {_INSTANT}) AS slot, pm2_5 FROM r), g AS (SELECT sensor_id, slot, avg(pm2_5) AS v, count(*) AS n FROM u WHERE slot >= TIMESTAMP '2021-01-01' GROUP BY 1, 2),
+ e AS (SELECT sensor_id, min(slot) AS a, max(slot) AS b FROM g GROUP BY 1), s AS (SELECT sensor_id, unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS slot FROM e),
+ j AS (SELECT s.sensor_id, s.slot, g.v, g.n FROM s LEFT JOIN g ON s.sensor_id = g.sensor_id AND s.slot = g.slot),
+ l AS (SELECT *, last_value(CASE WHEN n IS NOT NULL THEN slot END IGNORE NULLS) OVER w AS last_slot, last_value(v IGNORE NULLS) OVER w AS last_v FROM j
+ WINDOW w AS (PARTITION BY sensor_id ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+
+def oracle_sql() -> dict[str, str]:
+    near = "slot - last_slot <= INTERVAL 3 HOUR"
+    return {
+        "p5_grid": (
+            f"{_SLOTS} SELECT sensor_id, slot, CASE WHEN {near} THEN last_v END AS value, coalesce(n, 0) AS n_readings, "
+            f"CASE WHEN n IS NOT NULL THEN 'observed' WHEN {near} THEN 'filled' ELSE 'missing' END AS status FROM l"
+        ),
+        "p5_found": f"{_SLOTS} SELECT sensor_id, strftime(slot, '%Y-%m-%d %H:%M:%S') AS slot FROM j WHERE n IS NULL",
+    }

@@ -46,7 +46,7 @@ def front_matter(text: Column, key: str) -> Column:
 def read_articles(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Article files, one per row: path, front-matter values, body (the whole text where the front matter is not closed);
     empty bodies and bodies that are PDF files are left out."""
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path).select("_metadata.file_path", "value")
+    rows = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt").select("_metadata.file_path", "value")
     body = F.when(F.col("value").rlike(_FRONT), F.regexp_extract("value", _FRONT, 2)).otherwise(F.col("value"))
     body = F.regexp_replace(F.replace(body, F.lit("\r\n"), F.lit("\n")), r"^\s+|\s+$", "")
     out = rows.select("file_path", *[front_matter(F.col("value"), k).alias(k) for k in keys], body.alias("body"))
@@ -124,7 +124,7 @@ def parse_feeds(documents: DataFrame, xml: str) -> DataFrame:
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """``(country, feed_url)`` of a JSON map of countries to lists; keys with an underscore, values that are no lists and blank
     addresses are skipped."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     pairs = text.select(F.explode(F.from_json("value", MapType(StringType(), StringType()))).alias("country", "feeds"))
     feeds = pairs.where(~F.startswith(F.col("country"), F.lit("_"))).select("country", F.explode(F.from_json("feeds", ArrayType(StringType()))).alias("feed_url"))
     return feeds.where(F.trim("feed_url") != "")
