@@ -125,11 +125,14 @@ _ERROR = re.compile(
 )
 # A notice about the comments under an article is furniture, not a demand in place of it.
 _ABOUT_COMMENTS = re.compile(r"\b(?:comments?|commentaires|comentários|maoni)\b", re.I)
+# Real data: rows of a table with numbers, lists of numbers, long sequences of capitals.
+_DATA = re.compile(r"\|[^|\n]*\d[^|\n]*(?:\||$)|^[\d.,;:\s+\-eE]{15,}$|^[A-Z]{30,}$")
 _TAG_WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"(?<=[.!?…;])\s+|\n")
 _VOWEL = re.compile(r"[aeiouyàâäéèêëíîïóôöúûüãõ]", re.I)
 MIN_WORDS = 6  # a sentence of content has at least so many words
 MIN_CONTENT = 2  # sentences that make content
+MESSAGE_WORDS = 13  # a message is shorter; a sentence that tells of one is a story
 SHARE_OF_FIELDS = 0.05  # unfilled fields among words from which a text that explains fields is residue all the same
 
 
@@ -229,6 +232,11 @@ def judge(text: str | None) -> Verdict:
         if _EMPTY_LINE.match(line):
             filler += 1
             continue
+        if _DATA.search(line):
+            content += 1
+            if content >= MIN_CONTENT:
+                return Verdict("", 0, content, latin + filler + errors + demands)
+            continue
         if is_furniture(line) or is_teaser(line):
             continue
         if whole and not line.isupper() and _mash(whole):
@@ -243,7 +251,7 @@ def judge(text: str | None) -> Verdict:
                 latin += 1
             elif (suspect and _FILLER_LINE.search(part)) or (not part.isupper() and _mash(words)):
                 filler += 1
-            elif suspect and len(words) < 25 and _ERROR.search(part):
+            elif suspect and (len(words) < MESSAGE_WORDS or "/" in part or "{" in part) and _ERROR.search(part):
                 errors += 1
             elif len(words) >= MIN_WORDS and (ends_sentence(part) or len(words) >= 25):
                 content += 1
