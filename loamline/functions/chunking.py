@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -208,3 +209,57 @@ def chunk_documents(documents: DataFrame, document: str, text: str, corpus: str)
         "tokens": keys.token_estimate("text").cast(IntegerType()), "content_hash": keys.chunk_content_hash("text"),
         "chunk_id": keys.chunk_id(CHUNK_NAMESPACE, corpus, "document_id", "chunk_index", "text"),
     })
+
+
+def semantic_split(sentences: list[str], vectors: list[list[float]], target: int, percentile: float = 95.0) -> list[str]:
+    """Sentences merged up to the target, parted where neighbours are least alike.
+
+    vectors: one per sentence, from any embedder. A gap parts where the cosine of its neighbours is at most the percentile of
+    all gaps (linear interpolation), which at 95 is nearly every gap; the greedy merge then packs parts to the target with
+    blank lines between them, separators not counted.
+    """
+    if len(sentences) < 2:
+        return list(sentences)
+    unit = np.array(vectors, dtype=float)
+    norms = np.linalg.norm(unit, axis=1, keepdims=True)
+    unit = unit / np.where(norms == 0, 1, norms)
+    alike = (unit[1:] * unit[:-1]).sum(axis=1)
+    cut = np.percentile(alike, percentile)
+    parts = [[sentences[0]]]
+    for sentence, a in zip(sentences[1:], alike):
+        if a <= cut:
+            parts.append([sentence])
+        else:
+            parts[-1].append(sentence)
+    out: list[str] = []
+    size = 0
+    for part in (" ".join(p) for p in parts):
+        if out and size + tokens(part) <= target:
+            out[-1] += "\n\n" + part
+            size += tokens(part)
+        else:
+            out.append(part)
+            size = tokens(part)
+    return out
+
+
+LANES = ["overview", "schema", "insights"]
+
+
+def lane_of(title: Column, text: Column) -> Column:
+    """Lane of a part of a table description: schema, insights or overview."""
+    t = F.lower(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.substring(text, 1, 200)))
+    return F.when(t.rlike(r"\b(schema|columns?|data type|fields?)\b"), "schema").when(t.rlike(r"\b(insight|usage|example|question|interpret)"), "insights").otherwise("overview")
+
+
+def consolidate_lanes(parts: DataFrame, document: str, order: str, lane: str, text: str) -> DataFrame:
+    """One row per document and lane, its parts joined in order; lanes in their fixed order."""
+    joined = parts.groupBy(document, lane).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, text))), lambda p: p[text]), "\n\n").alias("lane_text"))
+    rank = F.array_position(F.array(*[F.lit(x) for x in LANES]), F.col(lane)) - 1
+    return joined.withColumn("lane_index", rank.cast("int"))
+
+
+def explode_lanes(records: DataFrame, record: str, lanes: list[str]) -> DataFrame:
+    """Up to one row per lane of a record whose text is not blank, numbered anew."""
+    held = F.filter(F.array(*[F.struct(F.lit(x).alias("lane"), F.col(x).alias("text")) for x in lanes]), lambda s: F.trim(F.coalesce(s.text, F.lit(""))) != "")
+    return records.select(record, F.posexplode(held).alias("chunk_index", "l")).select(record, "chunk_index", F.col("l.lane").alias("lane"), F.col("l.text").alias("text"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loamline.plans import air_quality, chat, chunks, coverage, documents, market_prices, search, soil, star
+from loamline.plans import air_quality, chat, chunks, coverage, documents, market_prices, news, search, soil, star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,7 @@ def queries() -> dict[str, Query]:
         **search.queries(),
         **chunks.queries(),
         **chat.queries(),
+        **news.queries(),
         "p4_prices": market_prices.p4_prices,
         "p4_found": market_prices.p4_found,
         "p4_imputed": market_prices.p4_imputed,

@@ -14,6 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from loamline.functions import chunking, keys, pages
+from loamline.functions.bibliography import bibliographic, citation
 from loamline.functions.taxonomy import section_role
 from loamline.functions.urls import normalise_url
 from loamline.functions.vocabulary import CHUNK_NAMESPACE
@@ -233,3 +234,23 @@ def test_streams(spark, tmp_path):
     q.awaitTermination()
     last = spark.table("sums").collect()[-1]
     assert last["kept_turns"] == 2 and "t3" in last["summary"] and "t5" not in last["summary"]
+
+
+def test_semantic_split_parts_unlike_neighbours():
+    parts = [f"sentence {i} " + "x" * 40 for i in range(6)]
+    assert chunking.semantic_split(parts[:1], [[1.0]], 50) == parts[:1]
+    got = chunking.semantic_split(parts, [[1, 0], [1, 0.01], [0, 1], [0.01, 1], [1, 1], [1, 1.02]], 26)
+    assert "".join(got).replace("\n\n", "").replace(" ", "") == "".join(parts).replace(" ", "") and len(got) > 2
+
+
+def test_bibliography(spark):
+    text = "Soil carbon under shade trees in highlands\nAmina Otieno, John B. Mwangi and Grace Wanjiru\nAfrican Journal of Soil Science 12, pp. 34-56\ndoi: 10.1234/ajss.2020.15.\n© 2021 The authors"
+    b = spark.createDataFrame([(text,), (None,), ("",)], "t string").select(bibliographic(F.col("t")).alias("b")).select("b", citation(F.col("b")).alias("c")).collect()
+    assert (b[0]["b"]["doi"], b[0]["b"]["year"], b[0]["b"]["pages"]) == ("10.1234/ajss.2020.15", 2021, "34-56")
+    assert b[0]["b"]["title"].startswith("Soil carbon") and b[0]["b"]["authors"].startswith("Amina") and b[0]["b"]["journal"].startswith("African Journal")
+    assert b[0]["c"].startswith("Amina Otieno") and b[1]["b"]["doi"] is None and b[2]["c"] == ""
+
+
+def test_lanes(spark):
+    df = spark.createDataFrame([("r", "a", None, "c")], "id string, insight string, metric string, advice string")
+    assert [(r["chunk_index"], r["lane"]) for r in chunking.explode_lanes(df, "id", ["insight", "metric", "advice"]).collect()] == [(0, "insight"), (1, "advice")]
