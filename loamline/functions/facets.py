@@ -1,33 +1,45 @@
-"""Facets of a question: years, intent, countries."""
+"""Facets of a question: years, intent, countries, and what news may be filtered by."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loamline.functions.taxonomy import padded, places_of_focus
+from loamline.functions.vocabulary import INTENTS, PLACES, QUESTION_ALIASES, REGIONS
 
-# Words that tell a question's intent, in their order.
-INTENTS = [
-    ("trend", r"\b(trend|trends|over time|change|changes|since|growth|decline)\b"), ("comparison", r"\b(compare|comparison|versus|vs|difference|between)\b"),
-    ("forecast", r"\b(forecast|predict|projection|outlook)\b"), ("ranking", r"\b(top|highest|lowest|most|least|rank|best|worst)\b"),
-]
 
-
-def year_range(text: Column) -> Column:
-    """``struct<time_start, time_end>``: first and last day of the years named (1900 to 2099), null where none is."""
-    years = F.transform(F.regexp_extract_all(text, F.lit(r"(?<![\d,.])((?:19|20)\d{2})(?![\d,]|\.\d)"), F.lit(1)), lambda y: y.cast("int"))
-    low, high = F.array_min(years), F.array_max(years)
-    return F.struct(F.concat(low.cast("string"), F.lit("-01-01")).alias("time_start"), F.concat(high.cast("string"), F.lit("-12-31")).alias("time_end"))
+def year_range(text: Column, today: Column) -> Column:
+    """``struct<time_start, time_end>``: "past" or "last" so many years up to today (1 to 50), else the first day of the first
+    and the last day of the last year named (1900 to 2099); null where none is. today is a parameter, so that runs repeat."""
+    span = F.regexp_extract(F.lower(text), r"\b(?:past|last)\s+(\d{1,2})\s+years?\b", 1).try_cast("int")
+    n = F.greatest(F.lit(1), F.least(F.lit(50), span))
+    back = F.make_date(F.year(today) - n, F.month(today), F.least(F.day(today), F.lit(28)))
+    years = F.regexp_extract_all(text, F.lit(r"\b((?:19|20)\d{2})\b"), F.lit(1))
+    start = F.when(span.isNotNull(), back.cast("string")).otherwise(F.concat(F.array_min(years), F.lit("-01-01")))
+    end = F.when(span.isNotNull(), today.cast("string")).otherwise(F.concat(F.array_max(years), F.lit("-12-31")))
+    return F.struct(start.alias("time_start"), end.alias("time_end"))
 
 
 def intent(text: Column) -> Column:
-    low = F.lower(text)
-    out = None
+    """The first intent whose words occur; ``descriptive`` if none does."""
+    low, out = F.lower(text), F
     for name, pattern in INTENTS:
-        out = F.when(low.rlike(pattern), name) if out is None else out.when(low.rlike(pattern), name)
-    return out.otherwise("lookup")
+        out = out.when(low.rlike(pattern), name)
+    return out.otherwise("descriptive")
 
 
 def countries(text: Column) -> Column:
-    return places_of_focus(padded(text))
+    """Countries named, longest names first, each once; names within longer names count too."""
+    low = F.lower(text)
+    names = {p.lower(): p for p in PLACES} | QUESTION_ALIASES
+    names.pop("cote d'ivoire", None)
+    found = [F.when(low.rlike(rf"\b\Q{k}\E\b"), F.lit(names[k])) for k in sorted(names, key=lambda k: (-len(k), k))]
+    return F.array_distinct(F.array_compact(F.array(*found)))
+
+
+def news_country(override: Column, geography: Column) -> Column:
+    """At most one country to filter news by: the override if it is no region, else the first of the geography that is none."""
+    region = lambda x: F.lower(F.trim(x)).isin(REGIONS)
+    given = F.nullif(F.trim(F.coalesce(override, F.lit(""))), F.lit(""))
+    first = F.get(F.filter(geography, lambda g: (F.trim(g) != "") & ~region(g)), 0)
+    return F.when(given.isNotNull(), F.when(~region(given), given)).otherwise(F.trim(first))

@@ -10,8 +10,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from loamline.functions.keys import plain_words
 from loamline.functions.urls import bare_host, url_part
-from loamline.functions.vocabulary import HUB_SLUGS
+from loamline.functions.vocabulary import BAD_TITLES, HUB_SLUGS
 
 # Elements whose text is no content, and the meta fields that dates are read from, in order.
 SKIPPED = frozenset(["script", "style", "nav", "footer", "header", "aside", "noscript"])
@@ -102,10 +103,35 @@ def pick_published(rss: Column, html: Column, search: Column, inferred: Column,
     )
 
 
-def is_gate_page(body: Column) -> Column:
-    """Consent and gate pages, told by their first 1200 characters."""
-    head = F.lower(F.substring(body, 1, 1200))
-    return head.contains("before you continue") | head.contains("consent.") | head.contains("accept all") & head.contains("reject all")
+def is_gate_page(title: Column, body: Column) -> Column:
+    """Consent and gate pages, told by their title and the first 1200 characters of their text."""
+    t = F.lower(F.trim(F.coalesce(title, F.lit(""))))
+    head = F.lower(F.substring(F.coalesce(body, F.lit("")), 1, 1200))
+    by_title = t.rlike("before you continue|error 400|bad request")
+    consent = head.contains("before you continue") & head.rlike(r"google|g\.co/privacy")
+    terms = head.contains("we use cookies and data to") & head.contains("privacy policy") & head.contains("terms of service")
+    return by_title | consent | terms
+
+
+def better_title(page: Column, item: Column) -> Column:
+    """The page's title, or the feed item's where the page's is missing, short or that of an error page."""
+    p, i = F.trim(F.coalesce(page, F.lit(""))), F.trim(F.coalesce(item, F.lit("")))
+    poor = F.lower(p).isin(BAD_TITLES) | (F.length(p) < 12) | F.lower(p).rlike("error 400|bad request")
+    return F.when((i != "") & poor, i).otherwise(p)
+
+
+def adds_little(title: Column, body: Column) -> Column:
+    """Whether a text says hardly more than its headline: equal, or one within the other and at most 40 characters longer."""
+    t, b = plain_words(title), plain_words(body)
+    within = (F.contains(b, t) & (F.length(b) <= F.length(t) + 40)) | (F.contains(t, b) & (F.length(t) <= F.length(b) + 40))
+    return F.when(b == "", True).when(t == "", F.length(b) < 120).otherwise(within)
+
+
+def binary_payload(content: Column) -> Column:
+    """Signatures of PDF, image and archive files at the begin of a payload, white space aside."""
+    head = F.hex(F.substring(content, 1, 64))
+    head = F.regexp_replace(head, "^(?:20|09|0A|0D)+", "")
+    return head.rlike("^(?:255044462D|89504E470D0A1A0A|FFD8FF|474946383[79]61|1F8B|504B0304|52494646.{8}57454250)")
 
 
 def looks_binary(body: Column) -> Column:

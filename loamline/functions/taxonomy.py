@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from loamline.functions.vocabulary import (
-    BOILERPLATE_PATH, DOMAIN_KEYWORDS, GOVERNMENT_MARKERS, PATH_ROLES, PLACE_ALIASES, PLACES, TITLE_ROLES,
+    AGRICULTURE_TERMS, BOILERPLATE_PATH, DOMAIN_KEYWORDS, GOVERNMENT_MARKERS, PATH_ROLES, PLACE_ALIASES, PLACES, TITLE_ROLES,
 )
 
 MAX_PLACES = 12
@@ -48,6 +48,11 @@ def top_domains(scores: Column, most: int = 4, default: str = "agriculture") ->
     return F.when(F.size(names) > 0, names).otherwise(F.array(F.lit(default)))
 
 
+def agricultural_hits(words: Column, low: Column) -> Column:
+    """Occurrences of the agricultural context's terms: phrases and hyphened ones as substrings, words by themselves."""
+    return sum((occurrences(low, t) if " " in t or "-" in t else occurrences(words, f" {t} ") for t in AGRICULTURE_TERMS), F.lit(0))
+
+
 def before_references(text: Column) -> Column:
     return F.regexp_extract(text, r"(?is)^(.*?)(?:\n\s*(?:references|bibliography|works cited)\s*\n.*)?$", 1)
 

@@ -61,3 +61,32 @@ GOVERNMENT_MARKERS = ["national bureau of statistics", "official gazette", "gove
 EXCLUDED_ROLES = ["acknowledgements", "references", "boilerplate", "appendix"]
 # Fixed value: the namespace that chunk identifiers are made in.
 CHUNK_NAMESPACE = "6ba7b810-9dad-11d1-80b4-00c04fd430c8"
+# Words that show an agricultural context.
+AGRICULTURE_TERMS = [
+    "agriculture", "agricultural", "agribusiness", "agrifood", "agritech", "agrotech", "agro-", "farmer", "farmers", "farming", "farm", "smallholder", "livestock", "cattle", "poultry", "pastoral",
+    "ranch", "crop", "crops", "harvest", "planting", "irrigation", "fertilizer", "fertiliser", "pesticide", "seed", "seeds", "soil", "hectare", "hectares", "food security", "malnutrition", "stunting",
+    "hunger crisis", "famine", "cassava", "maize", "rice", "wheat", "cocoa", "palm oil", "yam", "millet", "sorghum", "aquaculture", "fisheries", "fishery", "extension service", "extension officer",
+    "agric extension", "ministry of agriculture", "minister of agriculture", "agrarian", "farmland", "arable", "post-harvest", "value chain", "commodity", "farm gate", "grain", "silos", "greenhouse",
+    "dairy", "milk production", "meat processing", "rural road", "rural market", "farm to market",
+]
+# Names that stand for another country name in a question; all other places stand for themselves.
+QUESTION_ALIASES = {
+    "cabo verde": "Cabo Verde", "cape verde": "Cabo Verde", "car": "Central African Republic", "congo": "Republic of the Congo", "congo-brazzaville": "Republic of the Congo",
+    "congo republic": "Republic of the Congo", "republic of the congo": "Republic of the Congo", "congo-kinshasa": "Democratic Republic of the Congo", "drc": "Democratic Republic of the Congo",
+    "swaziland": "Eswatini", "ivory coast": "Côte d'Ivoire", "côte d'ivoire": "Côte d'Ivoire",
+}
+# Regions, too broad to filter news by.
+REGIONS = [
+    "africa", "sub-saharan africa", "sub saharan africa", "east africa", "west africa", "southern africa", "north africa", "central africa", "african continent", "global", "worldwide", "international",
+]
+# What tells a question's intent, first match wins.
+INTENTS = [
+    ("predictive", r"likely|forecast|predict|projection|outlook|scenario|what if|expect|\bwill\b"),
+    ("monitoring", r"monitor|track|worsening|emerging|watch|ongoing|alert"),
+    ("compare", r"compare|versus|(^|\s)vs\s| rank |\b(top|bottom|best|worst|highest|lowest)\b"),
+    ("locate", r"where should|which regions|priority areas|focus on|where to|which areas|priority region"),
+    ("decision_support", r"should we|what should|recommend|allocate|prioritize|policy design|\binvest(ing|ment)?\b|\bfund(ing)?\b"),
+    ("diagnostic", r"why|because|driver|cause|explain|due to|reason"),
+]
+# Titles that a fetch brings back instead of the page's.
+BAD_TITLES = ["google news", "news", "home", "sign in", "before you continue", "", "error 400 (bad request)!!1", "error 400 (bad request)"]

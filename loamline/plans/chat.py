@@ -33,7 +33,7 @@ def chat_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def query_facets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Years, countries and intent of every held-out question."""
     q = Sources(spark, sf_dir).table("eval_items")
-    return q.select("item_id", facets.year_range(F.col("text")).alias("years"), facets.intent(F.col("text")).alias("intent"), facets.countries(F.col("text")).alias("countries")).select(
+    return q.select("item_id", facets.year_range(F.col("text"), F.lit("2026-01-01").cast("date")).alias("years"), facets.intent(F.col("text")).alias("intent"), facets.countries(F.col("text")).alias("countries")).select(
         "item_id", "years.time_start", "years.time_end", "intent", F.array_join("countries", "; ").alias("countries")
     )
 

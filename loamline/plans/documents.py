@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loamline.catalog import Sources
 from loamline.functions import keys, taxonomy
 from loamline.functions.urls import bare_host, normalise_url, url_part
-from loamline.functions.vocabulary import BOILERPLATE_PATH, CHUNK_NAMESPACE, DOMAIN_KEYWORDS, EXCLUDED_ROLES, HUB_SLUGS, PATH_ROLES
+from loamline.functions.vocabulary import AGRICULTURE_TERMS, BOILERPLATE_PATH, CHUNK_NAMESPACE, DOMAIN_KEYWORDS, EXCLUDED_ROLES, HUB_SLUGS, PATH_ROLES
 from loamline.operators.dedup import manifest_new, sequential_duplicates
 
 
@@ -88,9 +88,10 @@ def infer_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def agri_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with at least two hits of the agricultural vocabulary."""
-    scores = _scored(spark, sf_dir).select("doc_id", F.explode("scores").alias("s"))
-    return scores.groupBy("doc_id").agg(F.sum("s.score").cast("int").alias("hits")).where("hits >= 2")
+    """Documents with at least two hits of the agricultural context."""
+    d = Sources(spark, sf_dir).table("documents").select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("low")).withColumn("words", taxonomy.padded(F.col("low")))
+    scored = d.select("doc_id", taxonomy.agricultural_hits(F.col("words"), F.col("low")).alias("hits"))
+    return scored.groupBy("doc_id").agg(F.max("hits").alias("hits")).where("hits >= 2")
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,7 +169,7 @@ def oracle_sql() -> dict[str, str]:
             f"{base}{scored}, r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, i) AS k FROM s WHERE score > 0), "
             "t AS (SELECT doc_id, string_agg(domain, '; ' ORDER BY k) AS domains FROM r WHERE k <= 4 GROUP BY doc_id) SELECT d.doc_id, coalesce(domains, 'agriculture') AS domains FROM d LEFT JOIN t ON d.doc_id = t.doc_id"
         ),
-        "agri_gate": f"{base}{scored} SELECT doc_id, CAST(sum(score) AS INTEGER) AS hits FROM s GROUP BY doc_id HAVING sum(score) >= 2",
+        "agri_gate": f"{base}, s AS (SELECT doc_id, {' + '.join(count('low', t) if ' ' in t or '-' in t else count('words', f' {t} ') for t in AGRICULTURE_TERMS)} AS hits FROM d) SELECT doc_id, CAST(hits AS INTEGER) AS hits FROM s WHERE hits >= 2",
         "section_roles": (
             f"WITH c AS (SELECT metadata.doc_kind AS doc_kind, {role} AS role FROM pdf_chunks) SELECT doc_kind, role, CASE WHEN role IN ('table', 'abstract') THEN role ELSE 'content' END AS lane, count(*) AS n FROM c "
             f"WHERE role NOT IN ({', '.join(q(r) for r in EXCLUDED_ROLES)}) GROUP BY 1, 2, 3"

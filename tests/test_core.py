@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from loamline.functions import chunking, keys, pages
+from loamline.functions import chunking, facets, keys, pages
 from loamline.functions.bibliography import bibliographic, citation
 from loamline.functions.taxonomy import section_role
 from loamline.functions.urls import normalise_url
@@ -254,3 +254,22 @@ def test_bibliography(spark):
 def test_lanes(spark):
     df = spark.createDataFrame([("r", "a", None, "c")], "id string, insight string, metric string, advice string")
     assert [(r["chunk_index"], r["lane"]) for r in chunking.explode_lanes(df, "id", ["insight", "metric", "advice"]).collect()] == [(0, "insight"), (1, "advice")]
+
+
+def test_facets(spark):
+    today = F.lit("2026-05-31").cast("date")
+    years = lambda t: tuple(one(spark, facets.year_range(F.lit(t), today)))
+    assert years("yield from 2013 to 2022") == ("2013-01-01", "2022-12-31") and years("past 7 years") == ("2019-05-28", "2026-05-31") and years("none") == (None, None)
+    assert one(spark, facets.countries(F.lit("agriculture in nigeria"))) == ["Nigeria"] and "Niger" not in one(spark, facets.countries(F.lit("products nigeria produces")))
+    intents = ["will maize prices rise", "track the drought", "compare Kenya and Mali", "where should we plant", "should we fund it", "why did it fail", "maize"]
+    assert [one(spark, facets.intent(F.lit(t))) for t in intents] == ["predictive", "monitoring", "compare", "locate", "decision_support", "diagnostic", "descriptive"]
+    assert one(spark, facets.news_country(F.lit("Africa"), F.array(F.lit("Mali")))) is None
+    assert one(spark, facets.news_country(F.lit(""), F.array(F.lit("West Africa"), F.lit("Mali")))) == "Mali"
+
+
+def test_page_gates(spark):
+    gate = lambda t, b: one(spark, pages.is_gate_page(F.lit(t), F.lit(b)))
+    assert gate("Before you continue", "") and gate("", "Before you continue to Google") and not gate("Maize", "Prices fell.")
+    assert one(spark, pages.better_title(F.lit("News"), F.lit("Maize prices fall"))) == "Maize prices fall"
+    assert one(spark, pages.adds_little(F.lit("Maize prices fall"), F.lit("Maize prices fall, he said"))) and not one(spark, pages.adds_little(F.lit("Maize"), F.lit("x " * 200)))
+    assert one(spark, pages.binary_payload(F.lit(bytearray(b" \n%PDF-1.7")))) and not one(spark, pages.binary_payload(F.lit(bytearray(b"<html>"))))
