@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loamline.session import cut_lineage
+
 OBSERVED, FILLED, MISSING = "observed", "filled", "missing"
 
 
@@ -41,8 +43,8 @@ def regular_grid(
         & F.col("_v").isNotNull()
         & ~F.isnan("_v")
     )
-    seen = usable.groupBy("_s", F.expr(f"_m div {step}").alias("_k")).agg(
-        F.avg("_v").alias("_v"), F.count(F.lit(1)).alias("_n")
+    seen = cut_lineage(  # both the ends and the join read it: one row per source and step, so that readings are parsed once
+        usable.groupBy("_s", F.expr(f"_m div {step}").alias("_k")).agg(F.avg("_v").alias("_v"), F.count(F.lit(1)).alias("_n"))
     )
     ends = seen.groupBy("_s").agg(F.min("_k").alias("_a"), F.max("_k").alias("_b"))
     grid = ends.select("_s", F.explode(F.sequence("_a", "_b")).alias("_k"))
