@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamline.session import cut_lineage
+from loamline.session import broadcast_within, cut_lineage
 
 IMPOSSIBLE, SPIKE, STUCK, SKETCH = "impossible", "spike", "stuck", "sketch"
 
@@ -190,7 +190,7 @@ def flag_implausible(
 
     # sources with more than one block: their hours, with a running count, give the blocks' borders
     counts = base.groupBy("_s").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_block).select("_s")
-    large = cut_lineage(counts)
+    large = broadcast_within(cut_lineage(counts))
     hours = (
         base.join(large, "_s", "left_semi").groupBy("_s", F.expr(f"_m div {slot}").alias("_hour")).agg(F.count(F.lit(1)).alias("_c"))
     )
@@ -206,7 +206,7 @@ def flag_implausible(
         F.when((F.col("_own") > 0) & (F.col("_a") - F.min("_a").over(mine) < HALO), F.col("_own") - 1),
         F.when(F.max("_z").over(mine) - F.col("_z") < HALO, F.col("_own") + 1),  # beyond the last block: an empty one
     ))
-    seen = cut_lineage(hours.select("_s", "_hour", "_own", to.alias("_to")))
+    seen = broadcast_within(cut_lineage(hours.select("_s", "_hour", "_own", to.alias("_to"))))
     # no filter on the instant here: it is parsed once, in this projection, and rows without a place leave in each()
     placed = base.withColumn("_hour", F.expr(f"_m div {slot}")).join(seen, ["_s", "_hour"], "left")
     rows = placed.select(

@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings the engine assumes. ANSI mode and adaptive execution are Spark's own defaults; UTC is not.
 DEFAULTS = {
@@ -43,3 +44,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` once in the shared checkpoint folder, so that it is neither recomputed nor lost with an executor."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_within(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` rows, else as it is, for the planner to join by shuffle. For
+    materialised tables of narrow rows, whose count costs little."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
