@@ -34,5 +34,5 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         **star.oracle_sql(), **coverage.oracle_sql(), **soil.oracle_sql(), **documents.oracle_sql(), **search.oracle_sql(), **chat.oracle_sql(),
-        **air_quality.oracle_sql(),
+        **air_quality.oracle_sql(), **market_prices.oracle_sql(),
     }
