@@ -32,10 +32,10 @@ class Measure:
 
 #: Physical bounds of ambient air and the least deviation that may count as a spike.
 AIR_QUALITY = {
-    "pm2_5": Measure(0.0, 5000.0, True, float(np.log(3.5))),
-    "pm10": Measure(0.0, 5000.0, True, float(np.log(3.5))),
-    "temp_c": Measure(-60.0, 60.0, False, 11.0),
-    "humidity_pct": Measure(0.0, 100.0, False, 30.0),
+    "pm2_5": Measure(0.0, 5000.0, True, float(np.log(4.3))),
+    "pm10": Measure(0.0, 5000.0, True, float(np.log(4.3))),
+    "temp_c": Measure(-60.0, 60.0, False, 12.0),
+    "humidity_pct": Measure(0.0, 100.0, False, 26.0),
 }
 
 NEIGHBOURS = 7  # readings on either side that give the local level; the median of 7 bears 3 spikes
@@ -154,7 +154,7 @@ def flag_implausible(
     micros: Column,
     measures: dict[str, Measure] = AIR_QUALITY,
     *,
-    fence: float = 5.0,
+    fence: float = 3.0,
     min_run: int = 15,
     hours_per_context: int = 6,
     rows_per_block: int = 20_000,
