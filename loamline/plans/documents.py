@@ -12,6 +12,9 @@ from loamline.functions.vocabulary import AGRICULTURE_TERMS, BOILERPLATE_PATH, C
 from loamline.operators.dedup import manifest_new, sequential_duplicates
 
 
+RUN_START = "2024-01-01 00:00:00"  # documents ingested before it are in the manifest
+
+
 def doc_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Sources(spark, sf_dir).table("documents")
     return d.select("doc_id", keys.chunk_content_hash("text").alias("chunk_hash"), keys.article_content_hash("text").alias("article_hash"), keys.token_estimate("text").alias("tokens"))
@@ -48,10 +51,12 @@ def url_hub_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def manifest_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents whose content is neither in the manifest nor earlier in the run."""
-    d = Sources(spark, sf_dir).table("documents").select("doc_id", keys.chunk_content_hash("text").alias("content_hash"))
-    manifest = d.where("doc_id % 10 = 0").select("content_hash").distinct()
-    return manifest_new(d, manifest, "content_hash", "doc_id")
+    """Documents of a run, those ingested since a date, whose content is neither in the manifest of the runs before nor
+    earlier in this one."""
+    d = Sources(spark, sf_dir).table("documents").select("doc_id", "ingested_at", keys.chunk_content_hash("text").alias("content_hash"))
+    since = F.lit(RUN_START).cast("timestamp")
+    before = d.where(F.col("ingested_at") < since).select("content_hash")
+    return manifest_new(d.where(F.coalesce(F.col("ingested_at") >= since, F.lit(True))).drop("ingested_at"), before, "content_hash", "doc_id")
 
 
 def news_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,8 +162,8 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT item_id, len(parts) = 0 OR (len(parts) = 1 AND lower(parts[1]) IN ({', '.join(q(h) for h in HUB_SLUGS)})) AS is_hub FROM p"
         ),
         "manifest_skip": (
-            f"WITH d AS (SELECT doc_id, sha256({collapse('coalesce(text, {})'.format(q('')))}) AS content_hash FROM documents) SELECT min(doc_id) AS doc_id, content_hash FROM d "
-            "WHERE content_hash NOT IN (SELECT content_hash FROM d WHERE doc_id % 10 = 0) GROUP BY content_hash"
+            f"WITH d AS (SELECT doc_id, ingested_at, sha256({collapse('coalesce(text, {})'.format(q('')))}) AS content_hash FROM documents) SELECT min(doc_id) AS doc_id, content_hash FROM d "
+            f"WHERE coalesce(ingested_at >= TIMESTAMP '{RUN_START}', true) AND content_hash NOT IN (SELECT content_hash FROM d WHERE ingested_at < TIMESTAMP '{RUN_START}') GROUP BY content_hash"
         ),
         "chunk_stats": (
             "WITH c AS (SELECT metadata.doc_kind AS doc_kind, greatest(1, length(text) // 4) AS tokens, metadata.content_hash AS h FROM pdf_chunks WHERE text IS NOT NULL) SELECT doc_kind, count(*) AS n_rows, "

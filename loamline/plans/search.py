@@ -49,8 +49,8 @@ def hybrid_rrf(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = Sources(spark, sf_dir)
     docs = at.table("documents").where("lower(lang) = 'en'").select(F.col("doc_id").alias("vec_id"), "text")
     both = docs.join(_embeddings(spark, sf_dir), "vec_id")
-    q = _asked(_embeddings(spark, sf_dir)).join(at.table("documents").select(F.col("doc_id").alias("vec_id"), F.col("text").alias("qt")), "vec_id").select(
-        F.col("vec_id").alias("query_id"), F.col("embedding").alias("qv"), F.substring("qt", 1, 200).alias("query_text")
+    q = _asked(_embeddings(spark, sf_dir)).join(at.table("documents").select(F.col("doc_id").alias("vec_id"), F.coalesce("title", F.lit("")).alias("qt")), "vec_id").select(
+        F.col("vec_id").alias("query_id"), F.col("embedding").alias("qv"), F.col("qt").alias("query_text")
     )
     a = dense_topk(both, "vec_id", "embedding", q, "query_id", "qv", PREFETCH)
     b = bm25_topk(both, "vec_id", "text", q, "query_id", "query_text", PREFETCH)
@@ -140,7 +140,7 @@ def oracle_sql() -> dict[str, str]:
         "bm25_topk": f"WITH {bm}, {ranked} SELECT q AS query_id, i AS doc_id, score, rank FROM r WHERE rank <= {K}",
         "hybrid_rrf": (
             "WITH both_ AS (SELECT doc_id AS vec_id, text, embedding FROM documents JOIN embeddings ON doc_id = vec_id WHERE lower(lang) = 'en'), "
-            "qs AS (SELECT vec_id AS query_id, embedding AS qv, substr(text, 1, 200) AS qt FROM embeddings JOIN documents ON vec_id = doc_id WHERE vec_id % 100 = 0), "
+            "qs AS (SELECT vec_id AS query_id, embedding AS qv, coalesce(title, '') AS qt FROM embeddings JOIN documents ON vec_id = doc_id WHERE vec_id % 100 = 0), "
             + _bm25_sql("SELECT vec_id AS i, text AS t FROM both_", "SELECT query_id AS q, qt AS t FROM qs")
             + f", {ranked}, dd AS (SELECT query_id AS q, vec_id AS i, row_number() OVER (PARTITION BY query_id ORDER BY {_COS.format(a='qv', b='embedding')} DESC, vec_id) AS rank FROM qs, both_), "
             f"f AS (SELECT q, i, round(sum(1.0 / (60 + rank)), 8) AS score FROM (SELECT q, i, rank FROM r WHERE rank <= {PREFETCH} UNION ALL SELECT q, i, rank FROM dd WHERE rank <= {PREFETCH}) GROUP BY 1, 2), "
