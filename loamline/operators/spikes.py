@@ -20,7 +20,8 @@ class Measure:
     """What is physically possible for a measure and how it varies.
 
     low, high: bounds of the possible. ratio: the measure varies in proportion to its level, so deviations are taken between
-    logarithms (of at least ``floor``). least: a deviation below this is never a spike, whatever the source's own spread.
+    logarithms (of at least ``floor``). least: twice the usual error of a sensor, for sources that hardly vary; above it the
+    source's own fence decides.
     """
 
     low: float
@@ -30,12 +31,12 @@ class Measure:
     floor: float = 0.1
 
 
-#: Physical bounds of ambient air and the least deviation that may count as a spike.
+#: Physical bounds of ambient air; least from errors of 15 %, 0.5 degrees and 2 % humidity.
 AIR_QUALITY = {
-    "pm2_5": Measure(0.0, 5000.0, True, float(np.log(4.3))),
-    "pm10": Measure(0.0, 5000.0, True, float(np.log(4.3))),
-    "temp_c": Measure(-60.0, 60.0, False, 12.0),
-    "humidity_pct": Measure(0.0, 100.0, False, 26.0),
+    "pm2_5": Measure(0.0, 5000.0, True, float(np.log(1.3))),
+    "pm10": Measure(0.0, 5000.0, True, float(np.log(1.3))),
+    "temp_c": Measure(-60.0, 60.0, False, 1.0),
+    "humidity_pct": Measure(0.0, 100.0, False, 4.0),
 }
 
 NEIGHBOURS = 7  # readings on either side that give the local level; the median of 7 bears 3 spikes
@@ -59,6 +60,23 @@ def _median_of_neighbours(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return before, after
 
 
+def _short(x: np.ndarray, before: np.ndarray, after: np.ndarray, far: np.ndarray, sign: np.ndarray) -> np.ndarray:
+    """Whether the stretch around each value that stays beyond half of its deviation has at most LONGEST_SPIKE values.
+
+    Beyond: of the level on its side. Told from the value itself, so that the source's fence need not be known.
+    """
+    n, k = len(x), LONGEST_SPIKE
+    padded = np.concatenate([np.full(k, np.nan), x, np.full(k, np.nan)])
+    length = np.ones(n, dtype=np.int64)
+    for way, level in ((-1, before), (1, after)):
+        on = np.ones(n, dtype=bool)
+        for step in range(1, k + 1):
+            at = k + way * step
+            on &= sign * (padded[at : at + n] - level) > far / 2
+            length += on
+    return length <= k
+
+
 def _run_lengths(start: np.ndarray) -> np.ndarray:
     """Length of the run that each position belongs to; start: where a run begins."""
     run = np.cumsum(start) - 1
@@ -122,7 +140,9 @@ def _block(rows: pa.Table, measures: dict[str, Measure], min_run: int) -> pa.Tab
         far = np.fmax(np.fmax(up, down), 0.0)
         sign = np.where(up > 0, 1, np.where(down > 0, -1, 0))
         rest = np.abs(x - (before + after) / 2)
-        loud = far >= about.least
+        spike = np.zeros(len(x), dtype=bool)
+        if usable.any():
+            spike[usable] = (far[usable] >= about.least) & _short(*(v[usable] for v in (x, before, after, far, sign)))
         # sketches: counts of the residuals by logarithmic bucket, per hour context
         use = np.isfinite(rest) & own[fresh]
         if use.any():
@@ -131,12 +151,7 @@ def _block(rows: pa.Table, measures: dict[str, Measure], min_run: int) -> pa.Tab
             for hour in np.unique(keys >> 32):
                 mine = (keys >> 32) == hour
                 out.add(SKETCH, name, [int(hour)], [None], [None], [(keys[mine] & 0xFFFFFFFF).tolist()], [counts[mine].tolist()])
-        short = np.zeros(len(x), dtype=bool)
-        if loud.any():
-            seq = np.flatnonzero(usable)
-            l, g = loud[seq], sign[seq]
-            short[seq] = _run_lengths(np.r_[True, (l[1:] != l[:-1]) | (g[1:] != g[:-1])]) <= LONGEST_SPIKE
-        for kind, marked in ((SPIKE, loud & short), (STUCK, stuck)):
+        for kind, marked in ((SPIKE, spike), (STUCK, stuck)):
             hit = marked[one] & own
             if hit.any():
                 n = int(hit.sum())
@@ -164,7 +179,7 @@ def flag_implausible(
 
     impossible: outside the measure's physical bounds. spike: for at most three readings, far from the medians of the readings
     before and after, on the same side of both, and beyond the expanded interquartile fence of the source's usual residuals in
-    that part of the day (rate-of-change against the local level). stuck: a run of at least ``min_run`` equal successive
+    that part of the day (rate-of-change against the local level); readings beyond half of a deviation belong to it. stuck: a run of at least ``min_run`` equal successive
     readings (zero variance).
 
     Null and NaN values are skipped in every rule. A reading whose instant is null or before ``not_before`` has no place in the

@@ -98,6 +98,25 @@ def test_planted_faults_are_found_whatever_the_blocks(spark):
     assert flagged(df, rows_per_block=300) == want  # cut into ten blocks with halos
 
 
+@pytest.mark.parametrize("rows_per_block", [300, 20_000])
+def test_the_sources_own_fence_decides(spark, rows_per_block):
+    quiet, loud, want = series(sensor=1), series(sensor=2, seed=1), set()
+    rng = np.random.default_rng(5)
+    for r in loud:  # a sensor that varies so much that the same jumps are usual
+        r[3], r[4], r[5], r[6] = float(30 * np.exp(rng.normal(0, 0.8))), float(20 * np.exp(rng.normal(0, 0.8))), float(50 + rng.normal(0, 12)), float(20 + rng.normal(0, 6))
+    for rows in (quiet, loud):
+        rows[400][4], rows[600][3] = rows[399][4] * 3.5, rows[599][3] * 3.5
+        rows[800][6] = rows[799][6] + 9
+        rows[1000][5] = rows[999][5] + 22
+    want = {(quiet[i][0], m) for i, m in ((400, "pm2_5"), (600, "pm10"), (800, "temp_c"), (1000, "humidity_pct"))}
+    for n, at in ((4, 1300), (5, 1400), (6, 1500), (7, 1600)):  # more than three readings are a rise
+        for i in range(at, at + n):
+            quiet[i][6] += 9
+    got = flagged(spark.createDataFrame(quiet + loud, READINGS), rows_per_block=rows_per_block)
+    assert {x for x in got if x[0] < 200_000} == want
+    assert not {(loud[i][0], m) for i, m in ((400, "pm2_5"), (600, "pm10"), (800, "temp_c"), (1000, "humidity_pct"))} & got
+
+
 def test_spikes_of_nothing(spark):
     assert flagged(spark.createDataFrame([], READINGS)) == set()
     assert flagged(spark.createDataFrame([[1, 1, None, None, None, None, None], [2, 1, "1620000000", 1.0, 1.0, 1.0, 1.0]], READINGS)) == set()
