@@ -132,29 +132,11 @@ _SENTENCE = re.compile(r"(?<=[.!?…;])\s+|\n")
 _VOWEL = re.compile(r"[aeiouyàâäéèêëíîïóôöúûüãõ]", re.I)
 MIN_WORDS = 6  # a sentence of content has at least so many words
 MIN_CONTENT = 2  # sentences that make content
+STRETCH = 60  # words that are asked at once whether they are a language
 MESSAGE_WORDS = 13  # a message is shorter; a sentence that tells of one is a story
 SHARE_OF_FIELDS = 0.05  # unfilled fields among words from which a text that explains fields is residue all the same
 
 
-_TRIGGERS = (
-    "script", "cookie", "switch", "washa", "lorem", "ipsum", "dolor", "amet", "elit", "consec", "aliqua", "veniam", "labore", "nulla", "magna", "nostrud", "pariatur", "placeholder", "goes here", "this box", "this field", "this space", "sample", "dummy",
-    "publishing", "blank", "todo", "fixme", "coming soon", "texte", "texto", "maandishi", "test ", "filler", "in this",
-    "404", "403", "410", "429", "50", "error", "erreur", "erro", "hitilafu", "not found", "no longer", "does not exist", "missing", "moved", "removed", "damaged", "denied",
-    "not allowed", "not authori", "not permitted", "forbidden", "introuvable", "demandée", "encontrada", "haupo", "patikana", "expir", "sign in", "log in", "not be", "upgrade", "supported", "can't be", "gateway", "unavailable", "too many", "rate limit",
-    "trace", "undefined", "warning:", "exception", "null", "segmentation", "memory", "database", "timed out", "timeout", "failed", "administrator", "extract", "could not",
-    "unable", "cannot", "maintenance", "manutenção", "come back", "try again", "reload", "human", "robot", "you are a", "verify", "your browser", "captcha", "one more step",
-    "old link", "looked everywhere", "why am i", "wrong address", "request id", "reference", "ray ",
-)
-
-
-def _triggered(low: str) -> bool:
-    """Whether a text in lower case holds a trigger: without one it is no filler, error or demand in words."""
-    return any(t in low for t in _TRIGGERS)
-
-
-PLENTY = 8  # full stops from which a text without a trigger is content without a closer look
-
-
 @dataclass(frozen=True)
 class Verdict:
     """reason: '' for content, else fields, filler, error or demand. fields: unfilled ones; content, residue: sentences seen."""
@@ -166,7 +148,10 @@ class Verdict:
 
 
 def _mash(words: list[str]) -> bool:
-    """Keys struck at random, or one word over and over."""
+    """Keys struck at random, or one word over and over; a long text in each stretch, since any text repeats its words at length."""
+    n = STRETCH
+    if len(words) > n:
+        return all(_mash(words[i : i + n]) for i in range(0, len(words) - n, n)) and _mash(words[-n:])
     if len(words) >= 3 and len(set(words)) == 1:
         return True
     if len(words) < 4:
@@ -215,18 +200,13 @@ def judge(text: str | None) -> Verdict:
     fields = unfilled_fields(text)
     if fields:
         return Verdict("fields", fields, 0, 0)
-    low = text.lower()
-    if text.count(".") >= PLENTY and not _triggered(low):
-        vowels = sum(map(low.count, "aeiou"))
-        if vowels >= 0.22 * len(text):
-            return Verdict("", 0, PLENTY, 0)
     latin = content = errors = demands = filler = 0
     for line in text.split("\n"):
         line = line.strip()
         if not line:
             continue
-        whole = [w.lower() for w in _TAG_WORD.findall(line)] if len(line) < 400 else []
-        if len(line) < 160 and _triggered(line.lower()) and _DEMAND.search(line) and not _ABOUT_COMMENTS.search(line):
+        whole = [w.lower() for w in _TAG_WORD.findall(line)]
+        if len(line) < 160 and _DEMAND.search(line) and not _ABOUT_COMMENTS.search(line):
             demands += 1
             continue
         if _EMPTY_LINE.match(line):
@@ -246,12 +226,11 @@ def judge(text: str | None) -> Verdict:
             words = [w.lower() for w in _TAG_WORD.findall(part)]
             if not words:
                 continue
-            suspect = len(part) < 400 and _triggered(part.lower())
-            if suspect and len(words) >= 3 and sum(w in _LATIN for w in words) >= 0.6 * len(words):
+            if len(words) >= 3 and sum(w in _LATIN for w in words) >= 0.6 * len(words):
                 latin += 1
-            elif (suspect and _FILLER_LINE.search(part)) or (not part.isupper() and _mash(words)):
+            elif _EMPTY_LINE.match(part) or _FILLER_LINE.search(part) or (not part.isupper() and _mash(words)):
                 filler += 1
-            elif suspect and (len(words) < MESSAGE_WORDS or "/" in part or "{" in part) and _ERROR.search(part):
+            elif (len(words) < MESSAGE_WORDS or "/" in part or "{" in part) and _ERROR.search(part):
                 errors += 1
             elif len(words) >= MIN_WORDS and (ends_sentence(part) or len(words) >= 25):
                 content += 1

@@ -138,6 +138,39 @@ def test_residue(text, reason):
     assert residue.judge(text).reason == reason
 
 
+@pytest.mark.parametrize("times", [1, 3, 7, 8, 9, 60])
+@pytest.mark.parametrize("text", ["Under construction.", "bla bla bla.", "Em breve.", "Connection refused.", "Type your text here."])
+def test_residue_whatever_its_length(text, times):
+    assert residue.judge(" ".join([text] * times)).reason and residue.judge("\n".join([text] * times)).reason
+    assert not residue.judge(" ".join([text] * times) + "\nFarmers in the valley sold more maize this year. Prices fell at the market in the town.").reason
+
+
+@pytest.mark.parametrize(
+    ("text", "reason"),
+    [
+        *((x, "error") for x in (
+            "400 Bad Request", "401 Unauthorized", "405 error", "408 Request Timeout", "451 page", "Connection refused", "Session ended", "Session has ended", "Access denied", "Permission is denied", "File has moved", "The site is down",
+            "Record was removed", "Document is damaged", "Page introuvable", "Página não encontrada", "Ukurasa haupo", "Bad gateway", "Rate limited", "Syntax error", "Stack trace", "Undefined index", "Null pointer", "Out of memory",
+            "Query failed", "Timeout after 30", "Incident code", "Text extraction failed", "Unable to decode", "Closed for maintenance", "En maintenance", "Come back later", "Try again in 5", "Are you a bot", "Verify you are", "Captcha",
+            "Log in again", "Please upgrade", "Onyesho", "Session expirée", "Sessão expirada", "One more step", "Wrong address",
+        )),
+        *((x, "filler") for x in (
+            "Type your text here", "Add your content here", "Insert the title here", "Heading goes here", "This is a dummy page", "Replace this before publishing", "Image placeholder", "This page is intentionally left blank", "TODO: write",
+            "Coming soon", "Votre texte ici", "Texte provisoire", "Insira seu texto aqui", "Texto de exemplo", "Weka maandishi hapa", "Maandishi ya mfano", "Lorem ipsum dolor sit amet " * 20, "lorem ipsum dolor sit amet " * 2000,
+        )),
+        *((x, "demand") for x in ("Turn on scripting", "Enable cookies", "Switch them on", "Washa JavaScript", "Ative o JavaScript", "Activez JavaScript", "noscript")),
+    ],
+)
+def test_every_wording_of_residue(text, reason):
+    assert residue.judge(text).reason == reason
+
+
+def test_a_long_text_repeats_its_words():
+    rng = np.random.default_rng(2)
+    words = [f"{a}{b}" for a in ("maize", "bean", "goat", "river", "market", "price") for b in ("ing", "ed", "er", "al", "ous", "ly", "ment", "ful", "ity", "ness")]
+    assert residue.judge(" ".join(rng.choice(words, 3000)) + ".").reason == ""
+
+
 def test_residue_edge_cases(spark):
     rows = [("a", None), (None, "404 Not Found"), ("b", "404 Not Found"), ("b", "404 Not Found"), ("c", "word " * 200_000)]
     df = spark.createDataFrame(rows, "id string, text string").withColumns({"reason": F.lit(1), "_id": F.lit(2)})
