@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from loamline.llm.page_cues import is_furniture, is_heading_like, is_sentence, is_teaser
+from loamline.llm.page_cues import ends_sentence, is_furniture, is_heading_like, is_sentence, is_teaser
 
 SIGMA = 1.0  # of the Gaussian that smooths the ratio over neighbouring lines
 TITLE_ALIKE = 0.6  # share of words that a line and the page's title have in common, for the line to be the headline
@@ -21,6 +21,12 @@ _KERNEL = np.exp(-0.5 * (np.arange(-3, 4) / SIGMA) ** 2)
 _KERNEL /= _KERNEL.sum()
 _MARKUP = re.compile(r"<\s*/?\s*[a-zA-Z][^<>]*>|&[a-zA-Z]{2,8};|&#\d+;")
 _RAW = frozenset(["script", "style", "noscript", "template"])
+HEADING_WORDS = 8  # subheadings and fragments have no more words
+PARAGRAPH_WORDS = 25  # headings have fewer words: a line of so many is text without any mark at its end
+WRAPPED_LINES, WRAPPED_SHARE = 3, 0.8  # lines without an end that fill the width, for a block to be hard-wrapped; their share. Half of them go on in a small letter
+_POINTER = re.compile(r"^\W*[▶►▸➤➜→»›]")  # leads to another story
+_BULLET = re.compile(r"^(?:[•‣◦▪●*–—-]|\(?\w{1,2}[.)])\s+\S")
+_INNER_END = re.compile(r"[^\W\d_]{3,}[.!?…][\"”’'»)\]]*\s+[\"“‘'«(\[]*[^\W\d_a-z]")
 _SEPARATOR = re.compile(r"[|·•»›☰]|\s[/>]\s|\s{2,}\S")
 
 
@@ -84,6 +90,53 @@ def _bag(text: str) -> frozenset[str]:
     return frozenset(w.lower() for w in re.findall(r"[^\W_]+", text))
 
 
+def _paragraphs(kept: list[str], at: list[int], free: list[bool]) -> list[list[int]]:
+    """Lines that are one paragraph: each goes on in the next one, by a small letter or since the text is wrapped at its width."""
+    n = len(kept)
+    open_ = [i + 1 < n and free[i] and free[i + 1] and at[i + 1] == at[i] + 1 and not ends_sentence(kept[i]) for i in range(n)]
+    if not any(open_):
+        return []
+    # a subheading is much shorter than the text under it
+    small = [open_[i] and 2 * len(kept[i]) >= len(kept[i + 1]) and (kept[i + 1][0].islower() or kept[i].endswith((",", "-"))) for i in range(n)]
+    goes_on = small[:]
+    start = 0
+    while start < n:  # blocks without blank lines, furniture or teasers
+        end = start
+        while end + 1 < n and free[end] and free[end + 1] and at[end + 1] == at[end] + 1:
+            end += 1
+        unended = [i for i in range(start, end) if open_[i]]
+        if len(unended) >= WRAPPED_LINES:
+            width = max(len(kept[i]) for i in range(start, end + 1))
+            full = [i for i in unended if len(kept[i]) + 1 + len(kept[i + 1].split(None, 1)[0]) > width]
+            if len(full) >= max(WRAPPED_LINES, WRAPPED_SHARE * len(unended)) and 2 * sum(small[i] for i in full) >= len(full):
+                for i in full:
+                    goes_on[i] = True
+        start = end + 1
+    out, i = [], 0
+    while i < n:
+        end = i
+        while goes_on[end]:
+            end += 1
+        if end > i:
+            out.append(list(range(i, end + 1)))
+        i = end + 1
+    return out
+
+
+def _long_text(kept: list[str], i: int, furniture: list[bool], teaser: list[bool], within: bool) -> bool:
+    """Whether a long line without an end, in a dense region, is text rather than the heading of another story."""
+    if _POINTER.match(kept[i]):
+        return False
+    if len(kept[i].split()) >= PARAGRAPH_WORDS or _INNER_END.search(kept[i]):
+        return True
+    k = i - 1
+    while k >= 0 and not furniture[k] and not teaser[k] and not ends_sentence(kept[k]) and not is_sentence(kept[k]):
+        k -= 1  # the line that the list of such lines stands under
+    if k < 0 or furniture[k] or teaser[k]:
+        return False
+    return within or (kept[k].endswith(":") and all(_BULLET.match(x) for x in kept[k + 1 : i + 1]))
+
+
 def main_lines(text: str, title: str | None = None) -> list[tuple[int, bool]]:
     """``(line number, whether it is headline or article)`` of every line that is not blank; lines count from 1."""
     lines, tags = page_lines(text)
@@ -94,6 +147,12 @@ def main_lines(text: str, title: str | None = None) -> list[tuple[int, bool]]:
     furniture = [is_furniture(x) for x in kept]
     teaser = [is_teaser(x) for x in kept]
     sentence = [not f and not t and is_sentence(x) for x, f, t in zip(kept, furniture, teaser)]
+    free = [not f and not t and not _POINTER.match(x) for x, f, t in zip(kept, furniture, teaser)]
+    for lines_of in _paragraphs(kept, at, free):
+        whole = " ".join(kept[i] for i in lines_of)
+        if is_sentence(whole) or len(whole.split()) >= PARAGRAPH_WORDS:
+            for i in lines_of:
+                sentence[i] = True
     body = [i for i, s in enumerate(sentence) if s]
     first, last = (body[0], body[-1]) if body else (len(kept), -1)
     heading = [not s and not f and not t and is_heading_like(x) for x, s, f, t in zip(kept, sentence, furniture, teaser)]
@@ -118,10 +177,14 @@ def main_lines(text: str, title: str | None = None) -> list[tuple[int, bool]]:
             good = True
         elif furniture[i] or teaser[i]:
             good = False
-        else:  # subheadings and fragments within the text; longer headings there are teasers of other stories
+        else:  # subheadings and fragments within the text; longer lines, if they are no headings of other stories
             if dense is None:
                 dense = _dense(kept, [tags[k] for k in at])
-            good = bool(first < i < last and dense[i] and len(kept[i].split()) <= 8)
+            within = first < i < last
+            if len(kept[i].split()) <= HEADING_WORDS and not (kept[i - 1].endswith(":") and _BULLET.match(kept[i])):
+                good = bool(within and dense[i])
+            else:
+                good = bool(dense[i]) and _long_text(kept, i, furniture, teaser, within)
         out.append((n + 1, good))
     return out
 
@@ -143,8 +206,9 @@ def main_content_lines(pages: DataFrame, page_id: str, text: str, title: str) ->
     """``(page_id, line_no, is_main)`` for each line that is not blank.
 
     A line is main content if it is the headline (most like ``title``; without one, the last heading before the text), or
-    running text that is no furniture, or a short line within a dense region of the text. Density is the text-to-tag ratio
-    per line, Gaussian-smoothed and split by clustering. Null texts give no rows, null titles are no hindrance, a null id
+    running text that is no furniture, or a line without the end of a sentence in a dense region. Density is the text-to-tag
+    ratio per line, Gaussian-smoothed and split by clustering. Lines of one paragraph are judged together. Of long lines in
+    dense regions only those are left out that point to another story or stand in a list under furniture or outside the text. Null texts give no rows, null titles are no hindrance, a null id
     stays null; very long texts are read whole, line by line. Repeated rows come out repeatedly; an empty table gives none.
     Narrow: no shuffle, every page on its own.
     """

@@ -203,6 +203,35 @@ def test_main_content(title):
     assert kept == [5, 6, 8, 9, 11]
 
 
+HEAD = "Home | Markets | Weather | About\nMaize harvest doubles in the valley\n"
+FOOT = "\nMost read\nLocusts threaten the coffee in the hills of Sonduale and Muathepuada, growers say\nCourt halts milk levy on lorries to Broraibar and Honyatisho after long protest\n© 2024 Valley Daily. All rights reserved."
+WRAPPED = """Growers in the valley sold twice as much maize this year as they did
+in the last one, and the cooperative built two stores to hold what the
+mills of Muathepuada could not take before the rains came back in the
+month of March. Prices fell at once, and traders at the border waited
+for the buyers from Kisumu, who had promised to come with lorries."""
+
+
+@pytest.mark.parametrize(
+    ("body", "kept"),
+    [
+        (WRAPPED, 5),  # wrapped in mid-sentence
+        ("Growers sold twice as much, the cooperative said.\nTraders at the border waited for two weeks for the buyers from the coast who had promised to come\nNo trader wanted to share the costs.", 3),  # no final mark
+        ("Growers sold twice as much, the cooperative said.\nThe stores were full by March. Traders at the border waited for the buyers who had promised to come", 2),  # the last line is cut
+        ("The cooperative advises its members on these points:\n• plant the early variety in the first two weeks after the rains\n• store the grain dry and in closed bags of no more than fifty kilograms", 3),
+        ("Growers sold twice as much, the cooperative said.\n▶ Court halts milk levy on lorries to Broraibar and Honyatisho after long protest\nNo trader wanted to share the costs.", 2),  # a pointer is none
+        ("Growers sold twice as much, the cooperative said.\nMost read\nCourt halts milk levy on lorries to Broraibar and Honyatisho after long protest\nNo trader wanted to share the costs.", 2),  # nor is a list of others
+    ],
+)
+def test_long_lines_without_a_final_mark(body, kept):
+    title = "Maize harvest doubles in the valley"
+    page = HEAD + body + FOOT
+    good = [n for n, x in main_content.main_lines(page, title) if x]
+    n = body.count("\n") + 1
+    skipped = {i + 3 for i, x in enumerate(body.split("\n")) if x.startswith(("▶", "Most", "Court"))}
+    assert good == [2, *(i for i in range(3, 3 + n) if i not in skipped)] and len(good) == kept + 1
+
+
 def test_markup_is_parsed():
     html = "<html><body>\n<nav><a>Home</a> <a>Markets</a></nav>\n<h1>Maize harvest doubles in the valley</h1>\n<p>Growers sold twice as much, the cooperative said.</p>\n<script>var x = 'A sentence, it seems.';</script>\n</body></html>"
     assert [n for n, good in main_content.main_lines(html, "Maize harvest doubles in the valley") if good] == [3, 4]
