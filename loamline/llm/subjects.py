@@ -102,9 +102,10 @@ class WordModel:
         self.rows: dict[str, int] = {}
         self.odds = np.zeros((1, len(subjects)), dtype=np.float32)
 
-    def fit(self, texts: list[str], labels: list[list[int]], passages: Passages, rounds: int = 3, shrink: float = 0.5) -> WordModel:
+    def fit(self, texts: list[str], labels: list[list[int]], passages: Passages, rounds: int = 3, shrink: float = 0.5, least_documents: int = 2) -> WordModel:
         """Sentences get soft subjects within their document's labels and near those of their paragraph, words get odds from
-        those sentences, and again; wrong labels yield to the words. Sentences of held-out passages teach nothing."""
+        those sentences, and again; wrong labels yield to the words. Sentences of held-out passages teach nothing. A word of
+        fewer than ``least_documents`` documents teaches nothing either, however many are labelled."""
         k = len(self.subjects)
         lexicon = {w: i for i, s in enumerate(self.subjects) for w in LEXICON.get(s, "").lower().split()}
         number: dict[str, int] = {}
@@ -147,7 +148,7 @@ class WordModel:
                 score[:, s] += np.bincount(own, weights=odds[cell, s], minlength=len(doc)) + np.log((near[place] + 0.05) / (size[place] + 0.05 * k))
             soft = np.exp(score - score.max(axis=1, keepdims=True))
             soft /= soft.sum(axis=1, keepdims=True)
-        keep = (np.abs(odds).max(axis=1) > 0.4) & ((in_docs >= (2 if len(texts) < 1000 else 4)) | (seed.max(axis=1) > 0))
+        keep = (np.abs(odds).max(axis=1) > 0.4) & ((in_docs >= least_documents) | (seed.max(axis=1) > 0))
         self.rows, rows = {}, [np.zeros(k)]
         for w, i in number.items():
             if keep[i]:

@@ -355,6 +355,13 @@ def corpus(n=400, seed=9):
     return names, docs, truth, labels
 
 
+@pytest.mark.parametrize("n", [900, 998, 1200])
+def test_words_of_the_model_whatever_the_number_of_labels(n):
+    texts = [f"Common words stand in a sentence {'of maize' if i % 2 else 'of goats'}." for i in range(n)] + ["The zebu was sold."] * 3 + ["A kudu ran."]
+    model = subjects.WordModel(["a", "b"]).fit(texts, [[i % 2] for i in range(n)] + [[0]] * 4, subjects.Passages([]))
+    assert "zebu" in model.rows and "kudu" not in model.rows
+
+
 def test_subjects_of_held_out_documents(spark):
     names, docs, truth, labels = corpus()
     passage = " ".join(f"zz{k}" for k in range(40))
