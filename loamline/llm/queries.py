@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from loamline.catalog import Sources
@@ -109,11 +109,19 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 MAX_SUBJECTS, MAX_HELD_OUT = 1_000, 100_000  # bounds of the tables that are read to the driver
 
 
+def _bounded(table: DataFrame, most: int) -> list[Row]:
+    """All rows of a small table; an error, not a part of them, if there are more than ``most``."""
+    rows = table.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows of {', '.join(table.columns)}")
+    return rows
+
+
 def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of each subject in each document's sentences."""
     at = Sources(spark, sf_dir)
-    subjects = [r["subject"] for r in at.table("subject_areas").select("subject").distinct().orderBy("subject").limit(MAX_SUBJECTS).collect()]
-    held_out = [(r["item_id"], r["text"]) for r in at.table("eval_items").where("item_id is not null and text is not null").select("item_id", "text").limit(MAX_HELD_OUT).collect()]
+    subjects = [r["subject"] for r in _bounded(at.table("subject_areas").select("subject").distinct().orderBy("subject"), MAX_SUBJECTS)]
+    held_out = [(r["item_id"], r["text"]) for r in _bounded(at.table("eval_items").where("item_id is not null and text is not null").select("item_id", "text"), MAX_HELD_OUT)]
     return subject_shares(
         at.table("documents"), "doc_id", "text", subjects, at.table("document_labels"), held_out, address="publisher", source="source"
     )

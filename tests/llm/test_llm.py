@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from oracle import compare  # noqa: E402
 
-from loamline.llm import leakage, main_content, mixing, near_duplicates, registry, residue, splitting, subjects  # noqa: E402
+from loamline.llm import leakage, main_content, mixing, near_duplicates, queries, registry, residue, splitting, subjects  # noqa: E402
 
 TOKENIZER = Path(mixing.TOKENIZERS)
 
@@ -362,6 +362,13 @@ def test_words_of_the_model_whatever_the_number_of_labels(n):
     assert "zebu" in model.rows and "kudu" not in model.rows
 
 
+@pytest.mark.parametrize("bound", ["MAX_SUBJECTS", "MAX_HELD_OUT"])
+def test_more_subjects_or_items_than_the_bound_are_an_error(spark, monkeypatch, bound):
+    monkeypatch.setattr(queries, bound, 2)
+    with pytest.raises(ValueError, match="more than 2"):
+        queries.p10_shares(spark, "/root/testdata/sf0.001")
+
+
 def test_subjects_of_held_out_documents(spark):
     names, docs, truth, labels = corpus()
     passage = " ".join(f"zz{k}" for k in range(40))
