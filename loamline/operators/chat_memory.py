@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROLES = ["user", "assistant"]
+BLANKS = r"[\s\p{Z}\x{1c}-\x{1f}\x{85}]+"  # all that str.split() takes for blank
 
 
 def usable_turns(turns: DataFrame) -> DataFrame:
@@ -29,9 +30,15 @@ def complete_pairs(turns: DataFrame) -> DataFrame:
 
 def compact(turns: DataFrame, pairs: int = 5, max_chars: int = 4_000, summary_chars: int = 1_200) -> DataFrame:
     """``(conv_id, summary, kept_turns, kept_chars)``: more pairs than allowed, or more characters, fold the oldest into a
-    rolling summary. A fold with state, hence Python per conversation; turns are bounded to the last 20 * pairs first, older
-    ones being part of no window that a summary of ``summary_chars`` can still hold."""
-    bounded = recent_pairs(turns, 10 * pairs).select("conv_id", "turn", "role", "text")
+    rolling summary. A fold with state, hence Python per conversation; turns are bounded first by the characters of those after
+    them: one that is folded for sure goes only where later ones of this kind fill ``summary_chars``."""
+    back = Window.partitionBy("conv_id").orderBy(F.desc("turn"))
+    on = back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    users, chars = F.sum((F.col("role") == "user").cast("long")).over(on), F.sum(F.length("text").cast("long")).over(on)
+    shown = F.length("role") + 3 + F.length(F.regexp_replace("text", BLANKS, ""))  # in the summary, at least
+    t = usable_turns(turns).select("conv_id", "turn", "role", "text").withColumn("_folded", (users > pairs) | (chars > max_chars))
+    later = F.sum(F.when(F.col("_folded"), shown).otherwise(0).cast("long")).over(back.rowsBetween(Window.unboundedPreceding, -1))
+    bounded = t.withColumn("_later", F.coalesce(later, F.lit(0))).where(F.col("_later") <= summary_chars).drop("_folded", "_later")
 
     def fold(rows: pd.DataFrame) -> pd.DataFrame:
         kept = list(rows.sort_values("turn")[["role", "text"]].itertuples(index=False, name=None))

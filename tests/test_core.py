@@ -186,6 +186,15 @@ def test_chat_folds_the_oldest(spark):
     assert r["kept_turns"] == 6 and "turn 1 " in r["summary"] and "turn 16" not in r["summary"]
 
 
+def test_a_chat_summary_holds_all_that_fits(spark):
+    short = [(1, i, "user" if i % 2 else "assistant", f"t{i}") for i in range(1, 301)]
+    one_sided = [(2, i, "assistant", f"a{i}") for i in range(1, 201)]  # no user: all are kept
+    r = {x["conv_id"]: x for x in compact(spark.createDataFrame(short + one_sided, "conv_id long, turn int, role string, text string"), 3, 4000).collect()}
+    whole = "\n".join(f"{role}: {text}" for _, _, role, text in short[:294])
+    assert (r[1]["summary"], r[1]["kept_turns"]) == (whole[-1200:], 6)
+    assert (r[2]["summary"], r[2]["kept_turns"]) == ("", 200)
+
+
 def test_readers_and_writers(spark, tmp_path):
     lines = tmp_path / "chunks.jsonl"
     lines.write_text("\n".join(['{"id": "a", "text": "t", "metadata": {"k": "v"}}', "", "{broken", '{"id": "b"}', '{"text": "x"}', '{"id": "c", "text": "u", "metadata": 3}']))
