@@ -149,13 +149,13 @@ def similar_sets(sets: DataFrame, threshold: float, *, weighted: bool = False) -
 
 
 def near_duplicate_groups(
-    records: DataFrame, record_id: str, shingles: Column, *, threshold: float = 0.8, same_key: Column | None = None, weighted: bool = False
+    records: DataFrame, record_id: str, shingles: Column, *, threshold: float = 0.8, same_key: Column | None = None, weighted: bool = False, alone: bool = False
 ) -> DataFrame:
-    """``(record_id, grp, links)`` for every record that is linked to another; grp is the least record of its group.
+    """``(record_id, grp)`` for every record that is linked to another; grp is the least record of its group. alone: with a row
+    for each record that is linked to none, too, a group of its own.
 
     Two records are linked when their shingle sets are at least ``threshold`` alike, or when their ``same_key`` is equal and
-    not empty; groups are records linked directly or through others. links: linked distinct sets or equal keys of the record's
-    own set, at least. Records with equal sets are one set throughout and never expanded into pairs.
+    not empty; groups are records linked directly or through others. Records with equal sets are one set throughout and never expanded into pairs.
 
     Null ids give no rows. Records without shingles are linked by their key only. Repeated rows count once. An empty table
     gives none. Other columns are ignored, whatever their names.
@@ -171,4 +171,6 @@ def near_duplicate_groups(
     same = keyed.join(firsts, "_key").select("a", F.col("_id").alias("b")).where("a != b")
     links = close.select("a", "b").union(copies).union(same)
     groups = connected(links, "a", "b")
+    if alone:
+        groups = base.select(F.col("_id").alias("node")).distinct().join(groups, "node", "left").withColumn("grp", F.coalesce("grp", "node"))
     return groups.select(F.col("node").alias(record_id), "grp")

@@ -18,17 +18,21 @@ from loamline.llm.subjects import subject_shares
 TITLE_ALIKE = 0.6
 
 
-def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed items that carry the same story or page: item and group."""
+def _same_story(spark: SparkSession, sf_dir: str, *, alone: bool) -> DataFrame:
     items = Sources(spark, sf_dir).table("rss_items")
     return near_duplicate_groups(
-        items, "item_id", words_of("title"), threshold=TITLE_ALIKE, same_key=normalise_url("url", same_scheme=True)
+        items, "item_id", words_of("title"), threshold=TITLE_ALIKE, same_key=normalise_url("url", same_scheme=True), alone=alone
     )
 
 
+def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every feed item with its group: the items that carry the same story or page, or the item alone."""
+    return _same_story(spark, sf_dir, alone=True)
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs within a group."""
-    groups = p2_groups(spark, sf_dir)
+    groups = _same_story(spark, sf_dir, alone=False)
     a = groups.select("grp", F.col("item_id").alias("item_id_a"))
     b = groups.select("grp", F.col("item_id").alias("item_id_b"))
     return a.join(b, "grp").where("item_id_a < item_id_b").select("item_id_a", "item_id_b")

@@ -106,6 +106,13 @@ def test_groups_against_brute_force(spark):
     assert near_duplicates.near_duplicate_groups(df.limit(0), "item", near_duplicates.words_of("title"), threshold=0.6).count() == 0
 
 
+def test_every_record_has_its_group(spark):
+    rows = [(1, "maize harvest doubles"), (2, "maize harvest doubles"), (3, "goats on the road"), (4, None), (4, None), (None, "x")]
+    df = spark.createDataFrame(rows, "item long, title string")
+    got = near_duplicates.near_duplicate_groups(df, "item", near_duplicates.words_of("title"), threshold=0.6, alone=True)
+    assert sorted(map(tuple, got.collect())) == [(1, 1), (2, 1), (3, 3), (4, 4)]
+
+
 def test_a_large_bucket_is_linked_without_all_its_pairs(spark):
     common = " ".join(f"story{k}" for k in range(30))
     rows = [(i, f"{common} tail{i}") for i in range(300)] + [(1000 + i, common.replace("story1 ", f"other{i} ")) for i in range(3)]
