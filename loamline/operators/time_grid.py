@@ -34,17 +34,13 @@ def regular_grid(
     a hot source over all tasks. The one window per source then sees steps, not readings.
     """
     step = step_seconds * 1_000_000
-    usable = readings.select(
-        F.col(source).alias("_s"), micros.alias("_m"), value.cast("double").alias("_v")
-    ).where(
-        F.col("_s").isNotNull()
-        & F.col("_m").isNotNull()
-        & (F.col("_m") >= F.unix_micros(F.lit(not_before).cast("timestamp")))
-        & F.col("_v").isNotNull()
-        & ~F.isnan("_v")
+    usable = readings.select(F.col(source).alias("_s"), micros.alias("_m"), value.cast("double").alias("_v")).where(
+        F.col("_s").isNotNull() & F.col("_v").isNotNull() & ~F.isnan("_v")
     )
+    # early and missing instants leave in the aggregate: a filter would be pushed below the projection and parse them twice
+    kept = F.when(F.col("_m") >= F.unix_micros(F.lit(not_before).cast("timestamp")), F.col("_v"))
     seen = cut_lineage(  # both the ends and the join read it: one row per source and step, so that readings are parsed once
-        usable.groupBy("_s", F.expr(f"_m div {step}").alias("_k")).agg(F.avg("_v").alias("_v"), F.count(F.lit(1)).alias("_n"))
+        usable.groupBy("_s", F.expr(f"_m div {step}").alias("_k")).agg(F.avg(kept).alias("_v"), F.count(kept).alias("_n")).where(F.col("_n") > 0)
     )
     ends = seen.groupBy("_s").agg(F.min("_k").alias("_a"), F.max("_k").alias("_b"))
     grid = ends.select("_s", F.explode(F.sequence("_a", "_b")).alias("_k"))

@@ -117,6 +117,38 @@ def test_the_sources_own_fence_decides(spark, rows_per_block):
     assert not {(loud[i][0], m) for i, m in ((400, "pm2_5"), (600, "pm10"), (800, "temp_c"), (1000, "humidity_pct"))} & got
 
 
+def test_the_blocks_never_decide(spark):
+    """Sparse measures, long stuck runs, nulls, repeated rows: the same verdicts however the time line is cut."""
+    rng, rows = np.random.default_rng(11), series(1200)
+    for i, r in enumerate(rows):
+        if i % 10:
+            r[5] = None  # a measure in every tenth row only
+        elif 300 <= i < 460:
+            r[5] = 44.5  # 16 equal values of it
+        if 100 <= i < 500:
+            r[6] = 21.25
+        if i in (99, 501, 640, 641):
+            r[6] = 35.0
+        if rng.random() < 0.02:
+            r[4] *= 9
+    rows += [[900_000 + i, *r[1:]] for i, r in enumerate(rows) if i % 7 == 0]
+    rows += [[800_000 + i, 1, None, 20.0, 20.0, 50.0, 20.0] for i in range(900)]  # more rows without an instant than a block holds
+    df = spark.createDataFrame(rows, READINGS)
+    whole = flagged(df)
+    assert sum(m == "humidity_pct" for _, m in whole) == 16 + 2  # two of the rows were sent twice
+    assert flagged(df, rows_per_block=90) == whole
+    assert flagged(df, rows_per_block=400) == whole
+
+
+def test_a_finer_slot_cuts_a_crowded_hour(spark):
+    rows = series(2500)
+    for i, r in enumerate(rows):
+        r[2] = str(1620000000 + i)  # a reading each second
+    rows[1000][6] += 15
+    df = spark.createDataFrame(rows, READINGS)
+    assert flagged(df, rows_per_block=200) == flagged(df) == {(rows[1000][0], "temp_c")}
+
+
 def test_spikes_of_nothing(spark):
     assert flagged(spark.createDataFrame([], READINGS)) == set()
     assert flagged(spark.createDataFrame([[1, 1, None, None, None, None, None], [2, 1, "1620000000", 1.0, 1.0, 1.0, 1.0]], READINGS)) == set()
