@@ -60,8 +60,7 @@ def p3_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every web page that holds content, and whether it is headline or article."""
-    pages = drop_residue(_chunks(spark, sf_dir, "news"), "text").where(F.col("id").isNotNull())
-    return main_content_lines(pages, "id", "text", "title")
+    return main_content_lines(_chunks(spark, sf_dir, "news").where(F.col("id").isNotNull()), "id", "text", "title", without_residue=True)
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -406,3 +406,15 @@ def test_accuracies_are_learned_without_labels():
     rows, counts = np.unique(votes, axis=0, return_counts=True)
     model = subjects.Agreement(3).fit(rows, counts.astype(float))
     assert np.abs(model.accuracy[:3] - [0.95, 0.8, 0.6]).max() < 0.05
+
+
+def test_density_decides_what_wording_cannot(monkeypatch):
+    """Furniture without any known wording goes by its ratio; without the ratio next to nothing goes."""
+    body = "The cooperative of the valley sold twice as much maize as last year, and built two stores for it. Traders waited at the border for weeks."
+    page = "\n".join(["Alpha", "Beta", "Gamma delta", *[body] * 4, "Epsilon", "Zeta eta", "Storm over the hills ruins the beans of nine growers", "Theta"])
+    kept = [n for n, good in main_content.main_lines(page) if good]
+    assert kept == [3, 4, 5, 6, 7] or kept == [4, 5, 6, 7]  # the last heading before the text may be the headline
+    all_text = "\n".join([body, "Growers agreed on this.", body, "So did the buyers of the coast."])
+    assert all(good for _, good in main_content.main_lines(all_text))  # no furniture: nothing is parted
+    menus = "\n".join(["Alpha", "Beta gamma delta epsilon", "Zeta", "Storm over the hills ruins beans"] * 3)
+    assert not any(good for _, good in main_content.main_lines(menus))
