@@ -105,7 +105,8 @@ def density(chars: np.ndarray, tags: np.ndarray) -> tuple[np.ndarray, np.ndarray
         if not len(below) or not len(above) or (below.mean() == low and above.mean() == high):
             break
         low, high = below.mean(), above.mean()
-    return score, np.maximum(before, after), float(np.clip((low + high) / 2, np.log1p(SPARSE), np.log1p(DENSE)))
+    sparse, dense = np.log1p(SPARSE), np.log1p(DENSE)  # where even the lower cluster is no furniture, nothing is parted
+    return score, np.maximum(before, after), float(sparse if low >= sparse else np.clip((low + high) / 2, sparse, dense))
 
 
 def _bag(text: str) -> frozenset[str]:
