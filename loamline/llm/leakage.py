@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -12,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loamline.session import cut_lineage
+
 _WORD = re.compile(r"[^\W_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 MAX_BLOCK_ITEMS = 2_000  # items that one pass holds against the corpus; a larger item table is taken in blocks
@@ -33,16 +36,18 @@ class Tiling:
 
 
 class Items:
-    """Words of the items as numbers, and where each run of ``seed`` words stands."""
+    """Words of the items as numbers, and where each run of ``seed`` words stands. Items are told apart by their place in the
+    list: an id may stand there with several texts."""
 
     def __init__(self, items: list[tuple[int, str]], seed: int) -> None:
-        self.seed, self.number, self.tokens = seed, {}, {}
+        self.seed, self.number = seed, {}
+        self.ids, self.tokens = [i for i, _ in items], []
         self.runs: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for item, text in items:
+        for row, (_, text) in enumerate(items):
             numbers = np.array([self.number.setdefault(w, len(self.number) + 1) for w in words(text)], dtype=np.int64)
-            self.tokens[item] = numbers
+            self.tokens.append(numbers)
             for at, value in enumerate(rolling(numbers, seed).tolist()):
-                self.runs[value].append((item, at))
+                self.runs[value].append((row, at))
         self.known = np.array(sorted(self.runs), dtype=np.uint64)
 
 
@@ -59,43 +64,48 @@ def rolling(numbers: np.ndarray, size: int) -> np.ndarray:
     return value
 
 
+def matches(starts: list[tuple[int, int]], seed: int) -> list[tuple[int, int, int]]:
+    """``(place in the text, place in the item, length)`` of the longest matches that seeds add up to: one for each unbroken row
+    of seeds on a diagonal."""
+    at = np.array(sorted(set(starts), key=lambda s: (s[0] - s[1], s[0])), dtype=np.int64)
+    first = np.flatnonzero(np.r_[True, (np.diff(at[:, 0]) != 1) | (np.diff(at[:, 1]) != 1)])
+    last = np.r_[first[1:], len(at)] - 1
+    return [(int(a), int(b), int(n)) for (a, b), n in zip(at[first], at[last, 0] - at[first, 0] + seed)]
+
+
+def _free(a: int, b: int, length: int, text: np.ndarray, item: np.ndarray, free_text: np.ndarray, free_item: np.ndarray, shortest: int) -> list[tuple[int, int, int]]:
+    """Parts of a match, of at least ``shortest`` words, that are equal word by word and marked on neither side."""
+    good = free_text[a : a + length] & free_item[b : b + length] & (text[a : a + length] == item[b : b + length])
+    edges = np.flatnonzero(np.diff(np.r_[False, good, False].astype(np.int8)))
+    return [(a + int(x), b + int(x), int(y - x)) for x, y in zip(edges[::2], edges[1::2]) if y - x >= shortest]
+
+
 def tile(text: np.ndarray, item: np.ndarray, starts: list[tuple[int, int]], shortest: int) -> Tiling:
-    """Greedy string tiling from seeds ``(place in the text, place in the item)``.
+    """Greedy string tiling from seeds ``(place in the text, place in the item)``, each of ``shortest`` words.
 
     Again and again the longest match of words that are not yet marked, on either side, becomes a tile; matches shorter than
-    ``shortest`` do not count. Reordered passages are so found piece by piece.
+    ``shortest`` do not count. Reordered passages are so found piece by piece. Seeds in a row are one match from the start, and
+    a match that a tile cuts goes back in pieces, so that the work grows with the matches, not with their lengths.
     """
-    n, m = len(text), len(item)
-    free_text, free_item = np.ones(n, dtype=bool), np.ones(m, dtype=bool)
+    free_text, free_item = np.ones(len(text), dtype=bool), np.ones(len(item), dtype=bool)
     longest = tiles = covered = 0
-    open_seeds = sorted(set(starts))
-    while open_seeds:
-        best, where, left = 0, None, []
-        for a, b in open_seeds:
-            if not (free_text[a] and free_item[b]):
-                continue
-            x, y = a, b
-            while x > 0 and y > 0 and text[x - 1] == item[y - 1] and free_text[x - 1] and free_item[y - 1]:
-                x, y = x - 1, y - 1
-            k = 0
-            while x + k < n and y + k < m and text[x + k] == item[y + k] and free_text[x + k] and free_item[y + k]:
-                k += 1
-            if k >= shortest:
-                left.append((a, b))
-                if k > best:
-                    best, where = k, (x, y)
-        if where is None:
-            break
-        x, y = where
-        free_text[x : x + best] = False
-        free_item[y : y + best] = False
-        longest, tiles, covered = max(longest, best), tiles + 1, covered + best
-        open_seeds = left
-    return Tiling(longest, tiles, covered / m if m else 0.0)
+    found = [part for a, b, n in (matches(starts, shortest) if starts else []) for part in _free(a, b, n, text, item, free_text, free_item, shortest)]
+    waiting = [(-n, a, b) for a, b, n in found]
+    heapq.heapify(waiting)
+    while waiting:
+        n, a, b = heapq.heappop(waiting)
+        parts = _free(a, b, -n, text, item, free_text, free_item, shortest)
+        if parts != [(a, b, -n)]:
+            for x, y, k in parts:
+                heapq.heappush(waiting, (-k, x, y))
+            continue
+        free_text[a : a - n] = free_item[b : b - n] = False
+        longest, tiles, covered = max(longest, -n), tiles + 1, covered - n
+    return Tiling(longest, tiles, covered / len(item) if len(item) else 0.0)
 
 
 def leaks(text: str, items: Items) -> list[tuple[int, Tiling]]:
-    """Items of which the text holds at least one run of ``items.seed`` words, with their tilings."""
+    """Ids of the items of which the text holds at least one run of ``items.seed`` words, with their tilings."""
     number = items.number
     numbers = np.array([number.get(w, 0) for w in words(text)], dtype=np.int64)
     if len(numbers) < items.seed or not len(items.known):
@@ -108,9 +118,9 @@ def leaks(text: str, items: Items) -> list[tuple[int, Tiling]]:
     at = np.flatnonzero(np.isin(values, items.known))
     seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for place in at.tolist():
-        for item, there in items.runs[int(values[place])]:
-            seeds[item].append((place, there))
-    return [(item, tile(numbers, items.tokens[item], starts, items.seed)) for item, starts in seeds.items()]
+        for row, there in items.runs[int(values[place])]:
+            seeds[row].append((place, there))
+    return [(items.ids[row], tile(numbers, items.tokens[row], starts, items.seed)) for row, starts in seeds.items()]
 
 
 def _leak_batches(items: list[tuple[int, str]], seed: int):  # noqa: ANN202
@@ -144,12 +154,14 @@ def leaked_items(
     and separators aside.
 
     Null texts and ids on either side give no rows; items of fewer than ``seed`` words cannot leak. Repeated documents each
-    come out; repeated items as well. Empty tables give no rows. Other columns are ignored, whatever their names.
+    come out; an item id with several texts gives a row for each text that leaks, the same text under one id counts once.
+    Empty tables give no rows. Other columns are ignored, whatever their names.
 
-    Plan: the items are the query set. They are taken in blocks of at most MAX_BLOCK_ITEMS items and MAX_BLOCK_CHARS
-    characters, each block sent to the tasks and held against all documents in one narrow pass: neither side is shuffled.
+    Plan: the items are the query set. They are taken in blocks of about MAX_BLOCK_ITEMS items and MAX_BLOCK_CHARS characters,
+    each block sent to the tasks and held against all documents in one narrow pass: neither side is shuffled. One block is on
+    the driver at a time: where there are several, each one's result is written before the next is read.
     """
-    asked = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).where(F.col("i").isNotNull() & F.col("t").isNotNull())
+    asked = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).where(F.col("i").isNotNull() & F.col("t").isNotNull()).distinct()
     size = asked.agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length("t")).alias("c"), F.max(F.char_length("t")).alias("m")).first()
     n_blocks = max(1, -(-size["n"] // MAX_BLOCK_ITEMS), -(-(size["c"] or 0) // MAX_BLOCK_CHARS))
     if n_blocks > 1:
@@ -157,9 +169,10 @@ def leaked_items(
     rows = documents.select(F.col(doc_id).cast("long").alias("_doc"), F.col(text).alias("_text")).where(F.col("_doc").isNotNull() & F.col("_text").isNotNull())
     out = None
     for block in range(n_blocks):
-        part = asked if n_blocks == 1 else asked.where(F.pmod(F.xxhash64("i"), F.lit(n_blocks)) == block)
+        part = asked if n_blocks == 1 else asked.where(F.pmod(F.xxhash64("i", "t"), F.lit(n_blocks)) == block)
         known = [(r["i"], r["t"]) for r in part.collect()]
         found = rows.mapInArrow(_leak_batches(known, seed), "_doc long, _item long, longest int, tiles int, covered double")
-        out = found if out is None else out.union(found)
-    hit = out.where((F.col("longest") >= min_run) | (F.col("covered") >= min_covered))
-    return hit.withColumnsRenamed({"_doc": doc_id, "_item": item_id})
+        hit = found.where((F.col("longest") >= min_run) | (F.col("covered") >= min_covered))
+        hit = hit if n_blocks == 1 else cut_lineage(hit)
+        out = hit if out is None else out.union(hit)
+    return out.withColumnsRenamed({"_doc": doc_id, "_item": item_id})

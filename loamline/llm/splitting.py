@@ -68,6 +68,22 @@ def _nearest(places: np.ndarray, to: int, low: int, high: int) -> int:
     return best
 
 
+def shape(max_tokens: int, overlap_tokens: int, min_tokens: int) -> tuple[int, int, int, int, int, bool]:
+    """``(limit, overlap, slack, most, least, possible)`` of a profile, in characters.
+
+    slack: how far the overlap's begin may move to a seam; most, least: new characters of a piece after the first. possible:
+    whether every text can be cut so: the overlap leaves room for new text, and two pieces of the least size fit where one is
+    too large. Of an impossible profile the nearest possible values are returned.
+    """
+    limit = max(1, max_tokens) * CHARS_PER_TOKEN + CHARS_PER_TOKEN - 1
+    wanted = max(0, overlap_tokens) * CHARS_PER_TOKEN
+    overlap = min(wanted, limit - CHARS_PER_TOKEN)
+    slack = min(overlap // 2, (limit - overlap) // 4)
+    most = max(1, limit - overlap - slack)
+    least = max(1, max(0, min_tokens) * CHARS_PER_TOKEN - (overlap - slack))
+    return limit, overlap, slack, most, max(1, min(least, most // 2)), overlap == wanted and (least == 1 or 2 * least <= most)
+
+
 def cut(text: str, max_tokens: int, overlap_tokens: int, min_tokens: int) -> list[tuple[int, int]]:
     """``(start, end)`` of the pieces of a text, ends exclusive, in order and covering it.
 
@@ -75,16 +91,12 @@ def cut(text: str, max_tokens: int, overlap_tokens: int, min_tokens: int) -> lis
     strongest level near it: since landmarks depend on content only, an edit alters the pieces around it and no others.
     Without a landmark in reach the last strong seam before the limit is taken; a text without seams is cut at the limit.
     Every piece after the first begins about ``overlap_tokens`` before the last cut, at a seam if there is one. Pieces have at
-    least ``min_tokens`` where the text allows it.
+    least ``min_tokens``. See ``shape`` for what of a profile is possible.
     """
-    limit = max(1, max_tokens) * CHARS_PER_TOKEN + CHARS_PER_TOKEN - 1
+    limit, overlap, slack, most, least, _ = shape(max_tokens, overlap_tokens, min_tokens)
     n = len(text)
     if n <= limit:
         return [(0, n)]
-    overlap = min(max(0, overlap_tokens) * CHARS_PER_TOKEN, limit // 3)
-    slack = overlap // 2  # how far the overlap's begin may move to a seam
-    most = max(1, limit - overlap - slack)  # new characters of a piece
-    least = min(max(1, min_tokens * CHARS_PER_TOKEN), most // 2) or 1
     usual = max(least, most // 2)
     marks = landmarks(text, max(8, most // 6))
     levels = seams(text)
@@ -94,18 +106,19 @@ def cut(text: str, max_tokens: int, overlap_tokens: int, min_tokens: int) -> lis
         if n - at <= room:
             pieces.append((start, n))
             return pieces
+        lead = overlap if at == 0 else 0  # the first piece holds what the second repeats
         high = min(at + room, n - least)
-        low = min(at + usual, high)
+        low = min(at + lead + usual, high)
         i = np.searchsorted(marks, low)
         aim = int(marks[i]) if i < len(marks) and marks[i] <= high else high
         end = -1
         for level, places in enumerate(levels):
             reach = most // (4 + 2 * level)
-            end = _nearest(places, aim, max(at + least, aim - reach), min(high, aim + reach))
+            end = _nearest(places, aim, max(min(at + lead + least, high), aim - reach), min(high, aim + reach))
             if end > at:
                 break
         if end <= at:
-            end = _nearest(levels[-1], aim, at + 1, high)
+            end = _nearest(levels[-1], aim, min(at + lead + 1, high), high)
         if end <= at:
             end = max(at + 1, high)
         pieces.append((start, end))
@@ -113,7 +126,7 @@ def cut(text: str, max_tokens: int, overlap_tokens: int, min_tokens: int) -> lis
         begin = want if overlap else end
         if overlap:
             for places in (levels[2], levels[4]):
-                seam = _nearest(places, want, max(at + 1, want - slack, end - overlap - slack), min(end - 1, want + slack))
+                seam = _nearest(places, want, max(start + 1, want - slack), min(end - 1, want + slack))
                 if seam > 0:
                     begin = seam
                     break
@@ -154,14 +167,18 @@ def split_oversized(texts: DataFrame, text: str, kind: str, profiles: DataFrame,
     profiles: ``(doc_kind, max_tokens, overlap_tokens, min_tokens)``, the limits of each ``kind``. A text within its limit, or
     of a kind without a profile, is one piece, as it is. ``piece[overlap_chars:]`` of the pieces in order is the text.
 
-    Null texts give no rows; an empty text is one empty piece; very long texts are cut whole. Repeated rows are cut
+    A profile that no text can meet (see ``shape``) is an error. Null texts give no rows; an empty text is one empty piece; very long texts are cut whole. Repeated rows are cut
     repeatedly; ``keep`` names what tells them apart. Other columns do not matter, whatever their names. Narrow: profiles are
     of bounded size and broadcast, only oversized texts leave the JVM.
     """
     limits = profiles.where(F.col("doc_kind").isNotNull()).groupBy(F.col("doc_kind").alias("_kind")).agg(
         F.min("max_tokens").cast("int").alias("_max"), F.min("overlap_tokens").cast("int").alias("_over"), F.min("min_tokens").cast("int").alias("_min")
     )
-    if len(limits.limit(MAX_PROFILES + 1).collect()) <= MAX_PROFILES:
+    held = limits.limit(MAX_PROFILES + 1).collect()  # a small table: checked here, and the broadcast's bound is proven by it
+    for row in held:
+        if row["_max"] is not None and not shape(row["_max"], row["_over"] or 0, row["_min"] or 0)[-1]:
+            raise ValueError(f"no text can be cut by the profile {row['_kind']}: {row['_max']} tokens at most, {row['_min']} at least, {row['_over']} repeated")
+    if len(held) <= MAX_PROFILES:
         limits = F.broadcast(limits)
     rows = texts.select(F.col(text).alias("_text"), F.col(kind).alias("_kind"), *[F.col(c) for c in keep]).where(F.col("_text").isNotNull()).join(limits, "_kind", "left")
     large = F.coalesce(token_count(F.col("_text")) > F.col("_max"), F.lit(False))

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from loamline.llm.leakage import Items, rolling
 from loamline.session import cut_lineage
 
-MAX_LABELLED = 10_000  # documents of the labelled sample that the word model is fitted on
-MAX_SOURCES = 10_000  # sources whose usual subject is learned
+# Bounds of the labelled sample that the word model is fitted on: documents, their characters, and those of one document.
+MAX_LABELLED, MAX_LABELLED_CHARS, MAX_LABELLED_TEXT = 10_000, 40_000_000, 200_000
 PASSAGE_RUN = 4  # successive words that a passage of a held-out item shares with it
 
 # Words that speak of a subject, in the languages of the collection; a weak labelling function of its own.
@@ -94,6 +94,11 @@ class Passages:
         return ((total[ends] - total[ends - lengths]) >= 0.5 * lengths) & (lengths > 0)
 
 
+def _places(document: np.ndarray, paragraph: np.ndarray) -> np.ndarray:
+    """A number for each paragraph of each document."""
+    return np.unique(document * (paragraph.max(initial=0) + 1) + paragraph, return_inverse=True)[1]
+
+
 class WordModel:
     """How strongly each word speaks for each subject: log-odds against the subject's share, learned from labelled documents."""
 
@@ -125,7 +130,7 @@ class WordModel:
                 para_of.append(p)
         cell, own, doc = np.array(cells, dtype=np.int64), np.array(owner, dtype=np.int64), np.array(doc_of, dtype=np.int64)
         in_docs = np.bincount(np.unique(cell * (len(texts) + 1) + doc[own]) // (len(texts) + 1), minlength=len(number)) if len(cell) else np.zeros(len(number))
-        _, place = np.unique(doc * 100_003 + np.array(para_of, dtype=np.int64), return_inverse=True) if len(doc) else (None, doc)
+        place = _places(doc, np.array(para_of, dtype=np.int64))
         size = np.bincount(place) if len(place) else np.zeros(0)
         prior = np.full((max(1, len(texts)), k), 0.1 / k)
         for d, mine in enumerate(labels):
@@ -209,8 +214,7 @@ def vote(model: WordModel, lexicon: WordModel, parts: list[list[str]], document:
     top, margin = best(model.scores(parts))
     votes[:, 1] = np.where(margin >= SURE, top, 0)
     votes[:, 2] = np.where((margin >= UNSURE) & (margin < SURE), top, 0)
-    place = np.array(document, dtype=np.int64) * 100_003 + np.array(paragraph, dtype=np.int64)
-    _, place = np.unique(place, return_inverse=True)
+    place = _places(np.array(document, dtype=np.int64), np.array(paragraph, dtype=np.int64))
     sums = np.zeros((place.max() + 1, k + 1))
     np.add.at(sums, (place, votes[:, 1]), 1)
     others = sums[place]
@@ -272,9 +276,10 @@ def _pattern_batches(model: WordModel, lexicon: WordModel, passages: Passages, u
                 code = np.zeros(len(own), dtype=np.int64)
                 for j in range(len(FUNCTIONS)):
                     code = code * k + votes[own, j]
-                keys, counts = np.unique(np.array(document, dtype=np.int64)[own] * k ** len(FUNCTIONS) + code, return_counts=True)
+                seen, code = np.unique(code, return_inverse=True)  # patterns of this batch: documents and patterns fit one integer
+                keys, counts = np.unique(np.array(document, dtype=np.int64)[own] * max(1, len(seen)) + code, return_counts=True)
                 yield pa.record_batch(
-                    [pa.array(np.array(ids, dtype=np.int64)[keys // k ** len(FUNCTIONS)]), pa.array(keys % k ** len(FUNCTIONS)), pa.array(counts.astype(np.int64))],
+                    [pa.array(np.array(ids, dtype=np.int64)[keys // max(1, len(seen))]), pa.array(seen[keys % max(1, len(seen))]), pa.array(counts.astype(np.int64))],
                     names=["_doc", "pattern", "n"],
                 )
 
@@ -282,12 +287,12 @@ def _pattern_batches(model: WordModel, lexicon: WordModel, passages: Passages, u
 
 
 def _usual(labelled: DataFrame, column: str, index: dict[str, int]) -> dict[str, int]:
-    """The subject (+ 1) that most labels of an address or source name, where there is one; at most MAX_SOURCES of them."""
+    """The subject (+ 1) that most labels of an address or source name, where there is one. Each has USUAL_LABELS of the sample's
+    labels, so that there are at most MAX_LABELLED x subjects / USUAL_LABELS of them."""
     counted = labelled.where(F.col(column).isNotNull()).groupBy(column, "subject").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy(column)
     best = counted.withColumn("all", F.sum("n").over(w)).where((F.col("n") >= USUAL_SHARE * F.col("all")) & (F.col("all") >= USUAL_LABELS))
-    rows = best.orderBy(F.desc("all"), column).limit(MAX_SOURCES).collect()
-    return {r[column]: index[r["subject"]] + 1 for r in rows if r["subject"] in index}
+    return {r[column]: index[r["subject"]] + 1 for r in best.collect() if r["subject"] in index}
 
 
 def subject_shares(
@@ -300,7 +305,7 @@ def subject_shares(
     neither for a subject nor among the sentences.
 
     labels: ``(doc_id, subject)``, some of them wrong; they only teach the words, on a sample of at most MAX_LABELLED
-    documents drawn by a hash. Without labels the fixed lexicon remains. Null ids or texts and documents without a word give
+    documents of about MAX_LABELLED_CHARS characters, none longer than MAX_LABELLED_TEXT, drawn by a hash. Without labels the fixed lexicon remains. Null ids or texts and documents without a word give
     no rows; null addresses and sources are silent; repeated rows of a document count together; empty tables give no rows;
     other columns are ignored, whatever their names.
 
@@ -314,9 +319,12 @@ def subject_shares(
     ).where(F.col("_doc").isNotNull() & F.col("_text").isNotNull())
     named = labels.select(F.col(doc_id).cast("long").alias("_doc"), "subject").where(F.col("_doc").isNotNull() & F.col("subject").isin(subjects)).distinct()
     said = named.groupBy("_doc").agg(F.sort_array(F.collect_set("subject")).alias("said"))
-    drawn_share = min(1.0, 0.95 * MAX_LABELLED / max(1, said.count()))  # by hash: a retry draws the same documents
+    lengths = rows.select("_doc", F.char_length("_text").alias("n")).where(F.col("n") <= MAX_LABELLED_TEXT)
+    said = cut_lineage(said.join(lengths.groupBy("_doc").agg(F.max("n").alias("n")), "_doc"))  # labels of documents that are there
+    size = said.agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("chars")).first()
+    drawn_share = min(1.0, 0.95 * MAX_LABELLED / max(1, size["docs"]), 0.9 * MAX_LABELLED_CHARS / max(1, size["chars"] or 0))  # by hash: a retry draws the same documents
     by_hash = F.pmod(F.xxhash64("_doc", F.lit(11)), F.lit(1_000_003)) < drawn_share * 1_000_003
-    sample = cut_lineage(said.where(by_hash).limit(MAX_LABELLED))
+    sample = cut_lineage(said.where(by_hash).select("_doc", "said").limit(MAX_LABELLED))
     drawn = rows.join(F.broadcast(sample), "_doc").dropDuplicates(["_doc"]).select("_doc", "_text", "said").toPandas().sort_values("_doc")
     passages = Passages(held_out)
     model = WordModel(subjects).fit(drawn["_text"].tolist(), [[index[s] for s in x] for x in drawn["said"]], passages)

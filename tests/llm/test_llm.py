@@ -418,3 +418,60 @@ def test_density_decides_what_wording_cannot(monkeypatch):
     assert all(good for _, good in main_content.main_lines(all_text))  # no furniture: nothing is parted
     menus = "\n".join(["Alpha", "Beta gamma delta epsilon", "Zeta", "Storm over the hills ruins beans"] * 3)
     assert not any(good for _, good in main_content.main_lines(menus))
+
+
+# ---------------------------------------------------------------- bounds that must not change results
+def test_a_wide_overlap_is_honoured():
+    text = " ".join(f"Sentence {i} speaks of maize and beans." for i in range(400))
+    pieces = splitting.cut(text, 100, 60, 20)
+    repeated = [pieces[k - 1][1] - pieces[k][0] for k in range(1, len(pieces))]
+    assert all(200 <= r <= 280 for r in repeated) and all((b - a) // 4 <= 100 for a, b in pieces) and all((b - a) // 4 >= 20 for a, b in pieces)
+
+
+@pytest.mark.parametrize("profile", [(100, 100, 10), (100, 120, 10), (100, 0, 80)])
+def test_impossible_profiles_are_errors(spark, profile):
+    profiles = spark.createDataFrame([("news", *profile)], "doc_kind string, max_tokens int, overlap_tokens int, min_tokens int")
+    with pytest.raises(ValueError, match="profile news"):
+        splitting.split_oversized(spark.createDataFrame([("a", "t", "news")], "id string, text string, kind string"), "text", "kind", profiles, ["id"])
+
+
+def test_an_item_id_may_stand_for_several_texts(spark):
+    one, two = (" ".join(f"{c}{k}" for k in range(20)) for c in "ab")
+    items = spark.createDataFrame([(1, one), (1, two), (1, two), (2, one)], "item_id long, text string")
+    docs = spark.createDataFrame([(10, one), (11, two), (12, f"{one} and {two}")], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"]) for r in leakage.leaked_items(docs, "doc_id", "text", items, "item_id", "text").collect())
+    assert got == [(10, 1), (10, 2), (11, 1), (12, 1), (12, 1), (12, 2)]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=40), st.lists(st.integers(0, 3), min_size=1, max_size=25), st.integers(2, 4))
+def test_tiles_against_word_by_word_tiling(text, item, shortest):
+    text, item = np.array(text, dtype=np.int64), np.array(item, dtype=np.int64)
+    starts = [(a, b) for a in range(len(text) - shortest + 1) for b in range(len(item) - shortest + 1) if (text[a : a + shortest] == item[b : b + shortest]).all()]
+    free_text, free_item, lengths = [True] * len(text), [True] * len(item), []
+    while True:  # the longest match of unmarked words, the first in the text and then on the diagonal
+        best = (0, 0, 0)
+        for a in range(len(text)):
+            for b in range(len(item)):
+                k = 0
+                while a + k < len(text) and b + k < len(item) and text[a + k] == item[b + k] and free_text[a + k] and free_item[b + k]:
+                    k += 1
+                if k > best[0]:
+                    best = (k, a, b)
+        k, a, b = best
+        if k < shortest:
+            break
+        lengths.append(k)
+        for i in range(k):
+            free_text[a + i] = free_item[b + i] = False
+    got = leakage.tile(text, item, starts, shortest)
+    assert (got.longest, got.tiles) == (max(lengths, default=0), len(lengths)) and abs(got.covered - sum(lengths) / len(item)) < 1e-12
+
+
+def test_patterns_of_many_subjects_do_not_overflow(spark):
+    names = [f"s{i:03d}" for i in range(600)]
+    docs = spark.createDataFrame([(i, f"term{i % 600} stands here. " * 3, "p", "s") for i in range(1200)], "doc_id long, text string, publisher string, source string")
+    labels = spark.createDataFrame([(i, names[i % 600]) for i in range(1200)], "doc_id long, subject string")
+    got = subjects.subject_shares(docs, "doc_id", "text", names, labels, [], address="publisher", source="source").collect()
+    assert {r["doc_id"] for r in got} <= set(range(1200)) and all(r["sentences"] <= 3 for r in got)
+    assert sum(r["subject"] == names[r["doc_id"] % 600] for r in got) > 0.9 * len(got) > 0
