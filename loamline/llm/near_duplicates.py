@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from loamline.operators.components import connected
 from loamline.session import cut_lineage
 
-IDF_POWER = 2.5  # how strongly rare shingles prevail in the sampling
-ROWS, BANDS = 3, 80  # a pair of weighted similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS
+IDF_POWER = 2.0  # as in the cosine of TF-IDF vectors, a shingle that two records share counts with the idf of both
+ROWS, BANDS = 3, 48  # a pair of weighted similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS
 # The same with all weights one: where a large part of all records shares its wording, those shingles weigh next to nothing by
 # idf, and records that differ in a rare one only would look unlike.
-EVEN_ROWS, EVEN_BANDS = 10, 30
-LARGE_BUCKET = 40  # beyond it a bucket is compared with one member first, and only the rest with all
+EVEN_ROWS, EVEN_BANDS = 8, 20
+LARGE_BUCKET = 40  # beyond it a bucket is compared with one member first, and only those unlike it with others
 
 
 def words_of(text: Column | str) -> Column:
@@ -99,23 +99,26 @@ def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(np.repeat(ids, BANDS + EVEN_BANDS)), pa.array(out.reshape(-1).view(np.int64))], names=["set_id", "key"])
 
 
-def similar_sets(sets: DataFrame, threshold: float, *, weighted: bool = False) -> DataFrame:
-    """``(a, b, similarity)``, a < b: pairs of the distinct sets ``(set_id, shingles)`` at least ``threshold`` alike.
+def linked_sets(sets: DataFrame, threshold: float, *, weighted: bool = False, frequencies: bool = False) -> DataFrame:
+    """``(a, b, similarity)``, a < b: links between the distinct sets ``(set_id, shingles)`` that are at least ``threshold`` alike.
 
-    Candidates share a band of consistent weighted samples (weights: idf to the power IDF_POWER, counted over all sets; and,
-    in further bands, all weights one) and are then verified on their shingles: by weighted Jaccard similarity with those weights, or, unless ``weighted``, with all
-    weights one. A pair is verified once however many bands it shares. A bucket of more than LARGE_BUCKET sets never gives all
-    its pairs: its members are verified against its first one; members unlike it are compared with the whole bucket, the
-    others are linked through it, so that no group falls apart.
+    Candidates share a band of consistent weighted samples (weights: tf x idf to the power IDF_POWER, counted over all sets;
+    and, in further bands, all weights one) and are then verified by weighted Jaccard similarity: with those weights, or, unless
+    ``weighted``, with all weights one. tf is 1 unless ``frequencies``: then shingles may repeat and count as often.
+
+    All candidates of buckets of up to LARGE_BUCKET sets are links of their own. A larger bucket never gives all its pairs:
+    its members are verified against its first one, and are linked through it where they are alike. The members that are not
+    alike meet the whole bucket by prefix filtering: two sets that are ``threshold`` alike share one of the rarest shingles of
+    each, so that only these are joined, and no link between a member and the rest is lost. The links' connected components are
+    the groups of all pairs that share a band; the pairs within a component are not all listed.
     """
     n = sets.count()
-    terms = sets.select("set_id", F.explode("shingles").alias("s"))
-    weight = F.pow(F.log1p(F.lit(float(max(n, 1))) / F.col("df")), F.lit(IDF_POWER))
-    frequency = terms.groupBy("s").agg(F.count(F.lit(1)).alias("df")).select("s", weight.alias("w"))
-    hashed = cut_lineage(
-        terms.join(frequency, "s").groupBy("set_id")
-        .agg(F.sort_array(F.collect_list(F.struct(F.xxhash64("s").alias("h"), F.col("w")))).alias("x"))
-        .select("set_id", F.col("x.h").alias("h"), F.col("x.w").alias("w"))
+    terms = sets.select("set_id", F.explode(F.transform("shingles", lambda s: F.xxhash64(s))).alias("h"))
+    terms = terms.groupBy("set_id", "h").agg(F.count(F.lit(1)).alias("tf")) if frequencies else terms.withColumn("tf", F.lit(1))
+    idf = F.pow(F.log1p(F.lit(float(max(n, 1))) / F.count(F.lit(1))), F.lit(IDF_POWER))
+    weighed = terms.join(terms.groupBy("h").agg(idf.alias("idf")), "h").select("set_id", "h", (F.col("tf") * F.col("idf")).alias("w"), F.col("idf"))
+    hashed = cut_lineage(  # the rarest shingles first
+        weighed.groupBy("set_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("idf")).alias("o"), "h", "w"))).alias("x")).select("set_id", F.col("x.h").alias("h"), F.col("x.w").alias("w"))
     )
     bands = hashed.mapInArrow(_band_keys, "set_id long, key long").repartition("key")
     buckets = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("set_id").alias("first")).where(F.col("size") > 1)
@@ -124,15 +127,16 @@ def similar_sets(sets: DataFrame, threshold: float, *, weighted: bool = False) -
     pairs = small.select("key", F.col("set_id").alias("a")).join(small.select("key", F.col("set_id").alias("b")), "key").where("a < b").select("a", "b")
     large = members.where((F.col("size") > LARGE_BUCKET) & (F.col("set_id") != F.col("first")))
     to_first = large.select(F.col("first").alias("a"), F.col("set_id").alias("b"))
+    even = lambda w: w if weighted else F.transform(w, lambda _: F.lit(1.0))
+    total = lambda w: F.aggregate(w, F.lit(0.0), lambda s, y: s + y)
 
     def verified(candidates: DataFrame) -> DataFrame:
         left = hashed.select(F.col("set_id").alias("a"), F.col("h").alias("ha"), F.col("w").alias("wa"))
         right = hashed.select(F.col("set_id").alias("b"), F.col("h").alias("hb"), F.col("w").alias("wb"))
         both = candidates.distinct().join(left, "a").join(right, "b")
         if weighted:
-            total = lambda x: F.aggregate(x, F.lit(0.0), lambda s, y: s + y)
-            mutual = F.filter(F.arrays_zip("ha", "wa"), lambda z: F.array_contains("hb", z.ha))
-            shared = F.aggregate(mutual, F.lit(0.0), lambda s, z: s + z.wa)
+            of = F.map_from_arrays("hb", "wb")
+            shared = F.aggregate(F.arrays_zip("ha", "wa"), F.lit(0.0), lambda s, z: s + F.least(z.wa, F.coalesce(F.try_element_at(of, z.ha), F.lit(0.0))))
             ratio = shared / (total(F.col("wa")) + total(F.col("wb")) - shared)
         else:
             shared = F.size(F.array_intersect("ha", "hb")).cast("double")
@@ -140,12 +144,21 @@ def similar_sets(sets: DataFrame, threshold: float, *, weighted: bool = False) -
         return both.select("a", "b", ratio.alias("similarity")).where(F.col("similarity") >= threshold - 1e-12)
 
     close = cut_lineage(verified(pairs.union(to_first)))
-    apart = large.select("key", F.col("first").alias("a"), F.col("set_id").alias("b")).join(close, ["a", "b"], "left_anti")
-    crossed = (
-        apart.select("key", F.col("b").alias("x")).join(large.select("key", F.col("set_id").alias("y")), "key").where("x != y")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    )
-    return close.union(verified(crossed))
+    apart = large.select("key", F.col("first").alias("a"), F.col("set_id").alias("b")).join(close, ["a", "b"], "left_anti").select("key", F.col("b").alias("x"))
+    if apart.isEmpty():
+        return close
+    # the leading shingles before which at most 1 - threshold of a set's weight lies: what follows is too little for a link
+    weights = even(F.col("w"))
+    leading = F.aggregate(
+        weights, F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("k")),
+        lambda s, w: F.struct((s["sum"] + w).alias("sum"), (s["k"] + F.when(s["sum"] <= (1 - threshold) * total(weights) + 1e-9, 1).otherwise(0)).alias("k")),
+    )["k"]
+    prefixes = hashed.select("set_id", F.slice("h", F.lit(1), leading).alias("p"))
+    wanted = apart.select("key").distinct()
+    theirs = large.join(wanted, "key", "left_semi").join(prefixes, "set_id").select("key", F.explode("p").alias("h"), F.col("set_id").alias("y"))
+    ours = apart.join(prefixes.withColumnRenamed("set_id", "x"), "x").select("key", F.explode("p").alias("h"), "x")
+    met = ours.join(theirs, ["key", "h"]).where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return close.union(verified(met))
 
 
 def near_duplicate_groups(
@@ -164,7 +177,7 @@ def near_duplicate_groups(
     base = base.where(F.col("_id").isNotNull()).dropDuplicates(["_id", "_sh", "_key"])
     with_words = base.where(F.size("_sh") > 0)
     sets = with_words.groupBy(F.col("_sh").alias("shingles")).agg(F.min("_id").alias("set_id"))
-    close = similar_sets(sets, threshold, weighted=weighted)
+    close = linked_sets(sets, threshold, weighted=weighted)
     copies = with_words.join(sets.withColumnRenamed("shingles", "_sh"), "_sh").select(F.col("set_id").alias("a"), F.col("_id").alias("b")).where("a != b")
     keyed = base.where(F.coalesce(F.col("_key") != "", F.lit(False)))
     firsts = keyed.groupBy("_key").agg(F.min("_id").alias("a"), F.max("_id").alias("z")).where("a != z").select("_key", "a")

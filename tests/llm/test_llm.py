@@ -475,3 +475,42 @@ def test_patterns_of_many_subjects_do_not_overflow(spark):
     got = subjects.subject_shares(docs, "doc_id", "text", names, labels, [], address="publisher", source="source").collect()
     assert {r["doc_id"] for r in got} <= set(range(1200)) and all(r["sentences"] <= 3 for r in got)
     assert sum(r["subject"] == names[r["doc_id"] % 600] for r in got) > 0.9 * len(got) > 0
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_hot_buckets_lose_no_group(spark, monkeypatch, weighted):
+    """A third of all records shares its wording; groups as of all pairs, whatever the size from which a bucket counts as large."""
+    rng = np.random.default_rng(12)
+    core = [f"core{k}" for k in range(9)]
+    rows = []
+    for i in range(240):
+        words = [*core, *(f"r{rng.integers(0, 5000)}" for _ in range(rng.integers(1, 9)))] if i % 3 == 0 else [f"w{rng.integers(0, 900)}" for _ in range(10)]
+        rows.append((i, " ".join(words)))
+        if i % 5 == 0:
+            rows.append((1000 + i, " ".join([*words[:-1], f"x{i}"])))
+    df = spark.createDataFrame(rows, "item long, title string")
+    n = len({frozenset(t.split()) for _, t in rows})
+    count = defaultdict(int)
+    for s in {frozenset(t.split()) for _, t in rows}:
+        for w in s:
+            count[w] += 1
+    weight = lambda w: np.log1p(n / count[w]) ** near_duplicates.IDF_POWER if weighted else 1.0
+    bags = {i: frozenset(t.split()) for i, t in rows}
+    parent = {i: i for i in bags}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in bags.items():
+        for j, b in bags.items():
+            if i < j and sum(weight(w) for w in a & b) >= 0.65 * sum(weight(w) for w in a | b):
+                x, y = sorted((find(i), find(j)))
+                parent[y] = x
+    want = {i: find(i) for i in bags}
+    for large in (5, 40):
+        monkeypatch.setattr(near_duplicates, "LARGE_BUCKET", large)
+        got = near_duplicates.near_duplicate_groups(df, "item", near_duplicates.words_of("title"), threshold=0.65, weighted=weighted, alone=True)
+        got = {r["item"]: r["grp"] for r in got.collect()}
+        assert sum(got[i] == want[i] for i in bags) >= 0.99 * len(bags)
