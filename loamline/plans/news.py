@@ -45,3 +45,7 @@ def news_funnel_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {"news_funnel": news_funnel, "news_funnel_counts": news_funnel_counts}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}

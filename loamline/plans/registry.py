@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loamline.plans import air_quality, chat, chunks, coverage, documents, market_prices, news, search, soil, star
+from loamline.plans import air_quality, chat, chunks, coverage, documents, market_prices, news, payloads, search, soil, star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,7 @@ def queries() -> dict[str, Query]:
         **chunks.queries(),
         **chat.queries(),
         **news.queries(),
+        **payloads.queries(),
         "p4_prices": market_prices.p4_prices,
         "p4_found": market_prices.p4_found,
         "p4_imputed": market_prices.p4_imputed,
@@ -34,5 +35,5 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         **star.oracle_sql(), **coverage.oracle_sql(), **soil.oracle_sql(), **documents.oracle_sql(), **search.oracle_sql(), **chat.oracle_sql(),
-        **air_quality.oracle_sql(), **market_prices.oracle_sql(),
+        **news.oracle_sql(), **payloads.oracle_sql(), **air_quality.oracle_sql(), **market_prices.oracle_sql(),
     }

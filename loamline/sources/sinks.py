@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from loamline.catalog import LAYERS
 from loamline.functions.keys import country_slug
 
 #: Column types of the warehouse in a relational database.
@@ -50,10 +51,11 @@ def write_articles(df: DataFrame, path: str, today: datetime | None = None) -> N
     df.withColumns({"country_slug": country_slug("country"), "year": year}).write.mode("overwrite").partitionBy("country_slug", "year").json(path)
 
 
-def upsert(old: DataFrame | None, new: DataFrame, key: str, version: str) -> DataFrame:
-    """Old and new points, the latest version of each key; writing the same batch twice changes nothing."""
+def upsert(old: DataFrame | None, new: DataFrame, key: str, version: str, ignore: list[str] | None = None) -> DataFrame:
+    """Old and new points, the latest version of each key; writing the same batch twice changes nothing. Ties are broken by the
+    other columns, those in ``ignore`` (maps, which have no order) aside."""
     every = new if old is None else old.unionByName(new, allowMissingColumns=True)
-    w = Window.partitionBy(key).orderBy(F.desc(version), F.xxhash64(*[c for c in every.columns if c != key]))
+    w = Window.partitionBy(key).orderBy(F.desc(version), F.xxhash64(*[c for c in every.columns if c != key and c not in (ignore or [])]))
     return every.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r")
 
 
@@ -79,6 +81,39 @@ class Snapshots:
         return self.spark.read.parquet(f"{self.root}/at={known[-1]}") if known else None
 
 
+    def restore(self, at: datetime, to: datetime) -> bool:
+        """Writes the snapshot of an instant as a new one; whether there was one (a missing one is skipped)."""
+        old = self.as_of(at)
+        if old is not None:
+            self.write(old, to)
+        return old is not None
+
+
+def restore_all(spark: SparkSession, roots: list[str], at: datetime, to: datetime) -> dict[str, bool]:
+    """Tables as they were at an instant; those without a snapshot of it are skipped and named."""
+    return {root: Snapshots(spark, root).restore(at, to) for root in roots}
+
+
+def source_definitions(tables: dict[str, dict[str, list[tuple[str, str, bool]]]], order: list[str] = list(LAYERS)) -> str:
+    """Source definitions of layers as YAML: ``{layer: {table: [(column, type, nullable)]}}``; known layers first, then by name."""
+    quote = lambda x: '"' + str(x).replace("\\", "\\\\").replace('"', '\\"') + '"'
+    lines = ["version: 2", "", "sources:"]
+    for layer in [*[x for x in order if x in tables], *sorted(set(tables) - set(order))]:
+        lines += [f"  - name: {quote(layer)}", f"    schema: {quote(LAYERS.get(layer, layer))}", "    tables:"]
+        for table, columns in tables[layer].items() or {"_placeholder": []}.items():
+            lines.append(f"      - name: {quote(table)}")
+            if columns:
+                lines.append("        columns:")
+            for name, kind, nullable in columns:
+                lines += [f"          - name: {quote(name)}", f"            description: {quote(kind + (' (NULLABLE)' if nullable else ' (REQUIRED)'))}"]
+    return "\n".join(lines)
+
+
+def model_text(layer: str, table: str) -> str:
+    """The model that takes a source over as it is."""
+    return f"{{{{ config(materialized='table') }}}}\n\nselect *\nfrom {{{{ source('{layer}', '{table}') }}}}\n"
+
+
 def catalogue(spark: SparkSession, database: str) -> str:
     """Tables and columns of a database as Markdown."""
     lines = [f"# {database}"]
