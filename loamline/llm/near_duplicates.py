@@ -13,10 +13,10 @@ from loamline.operators.components import connected
 from loamline.session import cut_lineage
 
 IDF_POWER = 2.0  # as in the cosine of TF-IDF vectors, a shingle that two records share counts with the idf of both
-ROWS, BANDS = 3, 48  # a pair of weighted similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS
+ROWS, BANDS = 2, 24  # a pair of weighted similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS
 # The same with all weights one: where a large part of all records shares its wording, those shingles weigh next to nothing by
 # idf, and records that differ in a rare one only would look unlike.
-EVEN_ROWS, EVEN_BANDS = 8, 20
+EVEN_ROWS, EVEN_BANDS = 4, 20
 LARGE_BUCKET = 40  # beyond it a bucket is compared with one member first, and only those unlike it with others
 
 
