@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loamline.catalog import Sources
 from loamline.functions import facets
+from loamline.functions.vocabulary import INTENTS, PLACES, QUESTION_ALIASES
 from loamline.operators.chat_memory import compact, complete_pairs, recent_pairs
 from loamline.operators.sql_guard import validate_sql
 
@@ -74,8 +77,35 @@ _CONV = (
 )
 
 
+def _facets_sql() -> str:
+    q = lambda s: "'" + s.replace("'", "''") + "'"
+    names = {p.lower(): p for p in PLACES if p != "Cote d'Ivoire"} | QUESTION_ALIASES
+    listed = ", ".join(f"CASE WHEN regexp_matches(low, {q(rf'\b{re.escape(k)}\b')}) THEN {q(names[k])} END" for k in sorted(names, key=lambda k: (-len(k), k)))
+    return (
+        "WITH t AS (SELECT item_id, text, lower(text) AS low, TRY_CAST(regexp_extract(lower(text), '\\b(?:past|last)\\s+(\\d{1,2})\\s+years?\\b', 1) AS INTEGER) AS span, regexp_extract_all(text, '\\b((?:19|20)\\d{2})\\b', 1) AS years FROM eval_items), "
+        f"c AS (SELECT *, list_filter([{listed}], lambda x: x IS NOT NULL) AS l FROM t) SELECT item_id, CASE WHEN span IS NOT NULL THEN CAST(2026 - least(50, greatest(1, span)) AS VARCHAR) || '-01-01' ELSE list_min(years) || '-01-01' END AS time_start, "
+        f"CASE WHEN span IS NOT NULL THEN '2026-01-01' ELSE list_max(years) || '-12-31' END AS time_end, CASE {' '.join(f'WHEN regexp_matches(low, {q(p)}) THEN {q(n)}' for n, p in INTENTS)} ELSE 'descriptive' END AS intent, "
+        "array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), '; ') AS countries FROM c"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
+    kept = "n_users <= 3 AND n_chars <= 200"
     return {
+        "chat_compact": (
+            # a fold takes turns from the begin, an answer together with its question: what stays is the longest end that begins at no answer and keeps both bounds
+            f"{_CONV}, n AS (SELECT conv_id, turn, role, text, role = 'assistant' AND coalesce(lag(role) OVER w = 'user', false) AS answer, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER b AS n_users, sum(length(text)) OVER b AS n_chars FROM u "
+            "WINDOW w AS (PARTITION BY conv_id ORDER BY turn), b AS (PARTITION BY conv_id ORDER BY turn DESC ROWS UNBOUNDED PRECEDING)), "
+            f"f AS (SELECT conv_id, min(turn) FILTER (WHERE NOT answer AND {kept}) AS first FROM n GROUP BY 1) SELECT n.conv_id, "
+            "coalesce(right(string_agg(role || ': ' || trim(regexp_replace(text, '\\s+', ' ', 'g')), chr(10) ORDER BY turn) FILTER (WHERE first IS NULL OR turn < first), 1200), '') AS summary, "
+            "CAST(count(*) FILTER (WHERE turn >= first) AS INTEGER) AS kept_turns, CAST(coalesce(sum(length(text)) FILTER (WHERE turn >= first), 0) AS INTEGER) AS kept_chars FROM n JOIN f ON f.conv_id = n.conv_id GROUP BY n.conv_id"
+        ),
+        "query_facets": _facets_sql(),
+        "sql_guard": (
+            "SELECT * FROM (VALUES (0, 'SELECT country, avg(value) FROM raw_dev.prices GROUP BY country', 'SELECT country, avg(value) FROM raw_dev.prices GROUP BY country LIMIT 10'), (1, 'SELECT * FROM raw_dev.prices LIMIT 3', 'SELECT * FROM raw_dev.prices LIMIT 3'), "
+            "(2, 'SELECT a.x, 0.5 AS half FROM raw_dev.t a JOIN landing.u b ON a.k = b.k', 'SELECT a.x, 0.5 AS half FROM raw_dev.t a JOIN landing.u b ON a.k = b.k LIMIT 10'), (3, 'DROP TABLE raw_dev.prices', NULL), "
+            "(4, 'SELECT 1; DELETE FROM raw_dev.prices', NULL), (5, 'SELECT * FROM secret.prices', NULL)) t(n, statement, cleaned)"
+        ),
         "chat_recent_pairs": f"{_CONV} SELECT conv_id, turn, role, text FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS r FROM u) WHERE r <= 6",
         "chat_pairs": f"{_CONV} SELECT conv_id, count(*) FILTER (WHERE role = 'user' AND nxt = 'assistant') AS pairs FROM (SELECT *, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS nxt FROM u) GROUP BY conv_id",
         "feed_slices": (

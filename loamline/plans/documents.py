@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from loamline.catalog import Sources
 from loamline.functions import keys, taxonomy
 from loamline.functions.urls import bare_host, normalise_url, url_part
-from loamline.functions.vocabulary import AGRICULTURE_TERMS, BOILERPLATE_PATH, CHUNK_NAMESPACE, DOMAIN_KEYWORDS, EXCLUDED_ROLES, HUB_SLUGS, PATH_ROLES
+from loamline.functions.vocabulary import AGRICULTURE_TERMS, BOILERPLATE_PATH, CHUNK_NAMESPACE, DOMAIN_KEYWORDS, EXCLUDED_ROLES, GOVERNMENT_MARKERS, HUB_SLUGS, PATH_ROLES
 from loamline.operators.dedup import manifest_new, sequential_duplicates
-
+from loamline.plans.payloads import sql_chunk_id, sql_url
 
 RUN_START = "2024-01-01 00:00:00"  # documents ingested before it are in the manifest
 
@@ -103,7 +103,7 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Sources(spark, sf_dir).table("pdf_chunks").where("text is not null and id is not null")
     d = d.select("id", F.concat_ws(" ", "text", F.col("metadata.geo_country_primary")).alias("text"))
     found = d.select("id", taxonomy.places_of_focus(taxonomy.padded(taxonomy.before_references(F.col("text")))).alias("places"))
-    return found.where(F.size("places") > 0)
+    return found.where(F.size("places") > 0).select("id", F.array_join("places", "; ").alias("places"))
 
 
 def info_types(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +153,22 @@ def oracle_sql() -> dict[str, str]:
     ) + ")"
     path = "regexp_replace(lower(coalesce(metadata.section_path, '')), '[^\\p{L}\\p{N}/]+', '_', 'g')"
     role = f"CASE WHEN regexp_matches({path}, {q(BOILERPLATE_PATH)}) THEN 'boilerplate' " + " ".join(f"WHEN regexp_matches({path}, {q(p)}) THEN {q(n)}" for n, p in PATH_ROLES) + " ELSE 'content' END"
+    asked = ", ".join(f"({i}, {q(part)}, {q(place)})" for i, (part, place) in enumerate(taxonomy._ASKED))
+    body = "regexp_extract(text, '(?is)^(.*?)(?:\\n\\s*(?:references|bibliography|works cited)\\s*\\n.*)?$', 1)"
     return {
+        "chunk_ids": f"SELECT id, {sql_chunk_id('corpus', 'metadata.document_id', 'metadata.chunk_index', 'text')} AS chunk_id FROM pdf_chunks WHERE text IS NOT NULL",
+        "url_normalize": f"SELECT item_id, {sql_url('url')} AS url FROM rss_items",
+        "places": (
+            f"WITH asked(i, part, place) AS (VALUES {asked}), t AS (SELECT row_number() OVER () AS n, id, concat_ws(' ', text, metadata.geo_country_primary) AS text FROM pdf_chunks WHERE text IS NOT NULL AND id IS NOT NULL), "
+            f"w AS (SELECT n, id, ' ' || regexp_replace(lower({body}), '[^\\p{{L}}\\p{{N}}_]+', '  ', 'g') || ' ' AS words FROM t), c AS (SELECT n, id, place, i, (length(words) - length(replace(words, part, ''))) // length(part) AS k FROM w, asked), "
+            "p AS (SELECT n, id, place, min(i) FILTER (WHERE k > 0) AS i, sum(k) AS k FROM c GROUP BY 1, 2, 3 HAVING sum(k) > 0), r AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY k DESC, i) AS r, count(*) OVER (PARTITION BY n) AS m, "
+            "max(k) OVER (PARTITION BY n) AS best FROM p) SELECT id, string_agg(place, '; ' ORDER BY r) AS places FROM r WHERE r <= 12 AND CASE WHEN m > 3 AND best >= 2 THEN k >= 2 WHEN m > 3 THEN r <= 5 ELSE true END GROUP BY n, id"
+        ),
+        "info_types": (
+            f"WITH d AS (SELECT title, {body.replace('text', "coalesce(text, '')", 1)} AS body FROM documents), l AS (SELECT *, lower(body) AS low FROM d) SELECT CASE WHEN regexp_matches(body, '(?i)\\bdoi:\\s*10\\.') OR regexp_matches(low, '\\bjournal of\\b') "
+            f"OR contains(lower(coalesce(title, '')), '1-s2.0') OR regexp_matches(substr(low, 1, 8000), '\\babstract\\b') THEN 'academic_article' WHEN {' + '.join(f'CAST(contains(low, {q(m)}) AS INTEGER)' for m in GOVERNMENT_MARKERS)} >= 2 THEN 'government_report' "
+            "ELSE 'academic_article' END AS info_type, count(*) AS n FROM l GROUP BY 1"
+        ),
         "doc_hashes": f"SELECT doc_id, sha256({collapse('coalesce(text, {})'.format(q('')))}) AS chunk_hash, sha256({collapse('lower(coalesce(text, {}))'.format(q('')))}) AS article_hash, CAST(greatest(1, length(text) // 4) AS INTEGER) AS tokens FROM documents",
         "dedupe_ids": f"SELECT item_id, substr(sha256({plain} || '|' || {host}), 1, 16) AS dedupe_id, substr(sha256(url), 1, 16) AS article_id FROM rss_items",
         "cluster_ids": f"SELECT item_id, substr(sha256(substr({plain}, 1, 120) || '|' || lower(coalesce(feed_name, '')) || '|news|' || coalesce(strftime(published, '%Y-%m-%d'), 'unknown')), 1, 16) AS cluster_id FROM rss_items",
