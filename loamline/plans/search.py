@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loamline.catalog import Sources
 from loamline.operators.retrieval import bm25_topk, dense_topk, merge_scored, pack_context, payload_filter, rerank_by_source, rrf
+from loamline.operators.table_hints import excerpt
 
 K, PREFETCH = 5, 20
 
@@ -69,10 +70,14 @@ def filtered_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recall_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Share of queries with another item of their own label among the k nearest, and the queries."""
+    """Share of queries with another item of their own label among the k nearest others, and the queries. The query itself is
+    among the items: one more is fetched, and it does not count."""
     e = _embeddings(spark, sf_dir)
     labels = e.select("vec_id", "label")
-    hits = dense(spark, sf_dir).where("query_id <> vec_id").join(labels, "vec_id").join(labels.withColumnsRenamed({"vec_id": "query_id", "label": "wanted"}), "query_id")
+    q = _asked(e).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("qv"))
+    others = dense_topk(e, "vec_id", "embedding", q, "query_id", "qv", K + 1).where("query_id <> vec_id")
+    w = Window.partitionBy("query_id").orderBy("rank")
+    hits = others.withColumn("r", F.row_number().over(w)).where(F.col("r") <= K).join(labels, "vec_id").join(labels.withColumnsRenamed({"vec_id": "query_id", "label": "wanted"}), "query_id")
     per = hits.groupBy("query_id").agg(F.max((F.col("label") == F.col("wanted")).cast("int")).alias("hit"))
     return per.agg(F.round(F.avg("hit"), 6).alias("recall"), F.count(F.lit(1)).alias("n_queries"))
 
@@ -92,14 +97,14 @@ def context_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """BM25 hits grouped by source: the best hit and the runner-up of each query and source."""
+    """BM25 hits grouped by source: the best hit and the runner-up, with an excerpt of its text, of each query and source."""
     at = Sources(spark, sf_dir)
     q = at.table("eval_items").select(F.col("item_id").alias("query_id"), F.col("text").alias("query_text"))
-    hits = bm25_topk(at.table("documents"), "doc_id", "text", q, "query_id", "query_text", PREFETCH).join(at.table("documents").select("doc_id", "source"), "doc_id")
+    hits = bm25_topk(at.table("documents"), "doc_id", "text", q, "query_id", "query_text", PREFETCH).join(at.table("documents").select("doc_id", "source", excerpt(F.col("text")).alias("excerpt")), "doc_id")
     w = Window.partitionBy("query_id", "source").orderBy(F.desc("score"), "doc_id")
     ranked = hits.where("source is not null").withColumn("r", F.row_number().over(w)).where("r <= 2")
     pick = lambda r, c: F.max(F.when(F.col("r") == r, F.col(c)))
-    return ranked.groupBy("query_id", "source").agg(pick(1, "doc_id").alias("best_doc"), pick(1, "score").alias("best_score"), pick(2, "doc_id").alias("second_doc"))
+    return ranked.groupBy("query_id", "source").agg(pick(1, "doc_id").alias("best_doc"), pick(1, "score").alias("best_score"), pick(2, "doc_id").alias("second_doc"), F.coalesce(pick(2, "excerpt"), F.lit("")).alias("second_excerpt"))
 
 
 def queries() -> dict:
@@ -151,8 +156,8 @@ def oracle_sql() -> dict[str, str]:
             f"r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS rank FROM x) SELECT query_id, vec_id, round(s, 5) AS score, rank FROM r WHERE rank <= {K}"
         ),
         "recall_at_k": (
-            f"{dense_sql}, h AS (SELECT r.query_id, max(CASE WHEN a.label = b.label THEN 1 ELSE 0 END) AS hit FROM r JOIN embeddings a ON r.vec_id = a.vec_id JOIN embeddings b ON r.query_id = b.vec_id "
-            f"WHERE rank <= {K} AND r.query_id <> r.vec_id GROUP BY 1) SELECT round(avg(hit), 6) AS recall, count(*) AS n_queries FROM h"
+            f"WITH x AS ({_DENSE.format(s=cos)} AND q.vec_id <> e.vec_id), r AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) <= {K}), h AS (SELECT r.query_id, max(CASE WHEN a.label = b.label THEN 1 ELSE 0 END) AS hit FROM r JOIN embeddings a ON r.vec_id = a.vec_id JOIN embeddings b ON r.query_id = b.vec_id "
+            f"GROUP BY 1) SELECT round(avg(hit), 6) AS recall, count(*) AS n_queries FROM h"
         ),
         "rerank_boost": (
             "WITH h AS (SELECT doc_id, CASE WHEN doc_kind = 'news' THEN 'news' WHEN doc_kind IN ('research_paper', 'policy_report') THEN 'academic' ELSE 'bigquery' END AS hit_source FROM documents) "
@@ -163,7 +168,7 @@ def oracle_sql() -> dict[str, str]:
             "c AS (SELECT q, substr(string_agg(t, chr(10) || chr(10) ORDER BY rank), 1, 6000) AS context FROM p GROUP BY q) SELECT q AS query_id, md5(context) AS context_md5, CAST(length(context) AS INTEGER) AS n_chars FROM c"
         ),
         "table_match": (
-            f"WITH {bm}, {ranked}, h AS (SELECT q, i, score, source, row_number() OVER (PARTITION BY q, source ORDER BY score DESC, i) AS k FROM r JOIN documents ON i = doc_id WHERE rank <= {PREFETCH} AND source IS NOT NULL) "
-            "SELECT q AS query_id, source, max(CASE WHEN k = 1 THEN i END) AS best_doc, max(CASE WHEN k = 1 THEN score END) AS best_score, max(CASE WHEN k = 2 THEN i END) AS second_doc FROM h WHERE k <= 2 GROUP BY 1, 2"
+            f"WITH {bm}, {ranked}, h AS (SELECT q, i, score, source, coalesce(text, '') AS text, row_number() OVER (PARTITION BY q, source ORDER BY score DESC, i) AS k FROM r JOIN documents ON i = doc_id WHERE rank <= {PREFETCH} AND source IS NOT NULL) "
+            "SELECT q AS query_id, source, max(CASE WHEN k = 1 THEN i END) AS best_doc, max(CASE WHEN k = 1 THEN score END) AS best_score, max(CASE WHEN k = 2 THEN i END) AS second_doc, coalesce(max(CASE WHEN k = 2 THEN substr(text, 1, 400) || CASE WHEN length(text) > 400 THEN '…' ELSE '' END END), '') AS second_excerpt FROM h WHERE k <= 2 GROUP BY 1, 2"
         ),
     }

@@ -282,3 +282,13 @@ def test_page_gates(spark):
     assert one(spark, pages.better_title(F.lit("News"), F.lit("Maize prices fall"))) == "Maize prices fall"
     assert one(spark, pages.adds_little(F.lit("Maize prices fall"), F.lit("Maize prices fall, he said"))) and not one(spark, pages.adds_little(F.lit("Maize"), F.lit("x " * 200)))
     assert one(spark, pages.binary_payload(F.lit(bytearray(b" \n%PDF-1.7")))) and not one(spark, pages.binary_payload(F.lit(bytearray(b"<html>"))))
+
+
+def test_far_points_find_their_site(spark):
+    from loamline.plans.soil import nearest
+
+    points = spark.createDataFrame([(1, 0.0, 0.0), (2, 5000.0, -7000.0), (3, float("nan"), 0.0), (4, None, 0.0), (5, float("inf"), 1.0), (6, -3.0, 4.0)], "id long, lat double, lon double")
+    sites = spark.createDataFrame([(7, 0.5, 0.5), (8, -900.0, 0.0), (9, 0.5, 0.5), (10, None, 1.0)], "site long, lat double, lon double")
+    got = {r["id"]: (r["site"], round(r["distance"], 6)) for r in nearest(points, sites, 0.01).collect()}
+    assert got == {1: (7, round(0.5**0.5, 6)), 2: (7, round((4999.5**2 + 7000.5**2) ** 0.5, 6)), 6: (7, round((3.5**2 + 3.5**2) ** 0.5, 6))}
+    assert nearest(points, sites.limit(0), 1.0).count() == 0
