@@ -10,6 +10,8 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loamline.session import broadcast_within, cut_lineage
+
 # Spellings of the reference table's symbols, lower case.
 SPELLINGS = {
     "kg": ["kg", "kgs", "kilo", "kilos", "kilogram", "kilograms", "kilogramme", "kilogrammes"],
@@ -143,7 +145,32 @@ MAX_REFERENCE_ROWS = 100_000  # a reference table beyond this is joined by shuff
 
 def _small(df: DataFrame) -> DataFrame:
     """Broadcast a reference table of proven size; leave a larger one to the planner."""
-    return F.broadcast(df) if len(df.limit(MAX_REFERENCE_ROWS + 1).collect()) <= MAX_REFERENCE_ROWS else df
+    return F.broadcast(df) if df.limit(MAX_REFERENCE_ROWS + 1).count() <= MAX_REFERENCE_ROWS else df
+
+
+def _units(keys: DataFrame, everywhere: DataFrame) -> DataFrame:
+    """``(_key, _named, _container, _quantity, _u1, _f1)`` of spellings ``_key``: a unit field after a mark, else a series' name."""
+    own = F.startswith("_key", F.lit("\x01"))
+    tail = F.regexp_replace(_plain(F.col("_key")), r"\s*[,/-]\s*[a-z]{3}$", "")
+    parsed = parse_unit(keys.where(F.col("_key").isNotNull()), F.when(own, F.substring("_key", 2, 1_000_000)).otherwise(tail), own, "_")
+    named = own | F.col("_symbol").isNotNull() | F.col("_container").isNotNull()
+    return parsed.join(everywhere, "_symbol", "left").select("_key", named.alias("_named"), "_container", "_quantity", "_u1", "_f1")
+
+
+def _currencies(keys: DataFrame, sub: DataFrame) -> DataFrame:
+    """``(_cc, _money, _scale, _usd)`` of countries and currency fields: what a stated value is multiplied by, and whether by the
+    exchange rate too; a null scale where the currency is not known."""
+    df = keys.join(sub, "_cc", "left").withColumn("_code", F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.trim("_money")), r"[.]", ""), r"\s+", " ")))
+    c = F.col("_code")
+    thousands = F.when(c.rlike(r"(^thousands? | thousands?$| '?000$)"), 1000.0).otherwise(1.0)
+    iso = _lookup(CURRENCIES, F.regexp_replace(c, r"^thousands? (?:of )?| thousands?$| '?000$", ""))
+    plain = lambda x: F.regexp_replace(x, "s$", "")
+    named = plain(F.regexp_extract(c, r"([^ ()]+)\)?$", 1)) == plain(F.col("_sub"))
+    subunit = F.coalesce(F.regexp_replace(c, r"[()]", "").rlike(r"(^| )") & named, F.lit(False))
+    local = iso.isNotNull() & F.coalesce(iso == F.col("_cur"), F.lit(True))
+    none = names_none(F.col("_money"))
+    scale = F.when(none, 1.0).when(subunit, F.col("_fsub")).when(iso == "USD", thousands).when(local, thousands)
+    return df.select(F.col("_cc").alias("_cc2"), F.col("_money").alias("_money2"), scale.alias("_scale"), (~none & ~subunit & F.coalesce(iso == "USD", F.lit(False))).alias("_usd"))
 
 
 def convert_prices(prices: DataFrame, reference: DataFrame) -> DataFrame:
@@ -156,60 +183,41 @@ def convert_prices(prices: DataFrame, reference: DataFrame) -> DataFrame:
     ``unit_unknown`` or ``currency_unknown`` (named, but not convertible) or ``no_value``.
 
     Null or NaN values, empty texts, unknown countries and an empty table give defined statuses, never errors. Every input
-    row comes out once, repeated rows too; columns of ``prices`` with the new names are replaced. Nothing is shuffled: the
-    reference table is bounded by MAX_REFERENCE_ROWS and broadcast, all parsing is Catalyst expressions in one scan.
+    row comes out once, repeated rows too; columns of ``prices`` with the new names are replaced.
+
+    Plan: every spelling of a unit, a series or a currency is parsed once, by Catalyst expressions, and joined back; spellings
+    are broadcast where they are few (checked), else joined by shuffle, and so is the reference table (MAX_REFERENCE_ROWS).
     """
     added = ["to_unit", "unit_factor", "unit_from", "currency_factor", "converted_price", "status"]
-    df = prices.drop(*added)
-    country = F.upper(F.trim(F.col("country_code")))
-    code = F.lower(F.trim(F.col("currency")))
-    df = df.withColumn("_own", ~names_none(F.col("unit"))).withColumn("_cc", country)
-    tail = F.regexp_replace(_plain(F.col("dataseries_name")), r"\s*[,/-]\s*[a-z]{3}$", "")
-    source = F.when(F.col("_own"), F.col("unit")).otherwise(tail)
-    df = parse_unit(df, source, F.col("_own"), "_")
+    df = prices.drop(*added).withColumns({"_own": ~names_none(F.col("unit")), "_cc": F.upper(F.trim("country_code")), "_money": F.col("currency").cast("string")})
+    df = df.withColumn("_key", F.when(F.col("_own"), F.concat(F.lit("\x01"), "unit")).otherwise(F.col("dataseries_name")))
 
     ref = reference.select("measure", "symbol", "country_code", "common_unit", F.col("factor").cast("double").alias("factor")).where(
         F.col("symbol").isNotNull() & F.col("factor").isNotNull()
     )
-    ref = ref.dropDuplicates(["measure", "symbol", "country_code"])
-    everywhere = ref.where((F.col("measure") != "currency") & F.col("country_code").isNull())
-    usual = ref.where((F.col("measure") != "currency") & F.col("country_code").isNotNull())
-    sub = ref.where((F.col("measure") == "currency") & F.col("country_code").isNotNull())
-    df = df.join(
-        _small(everywhere.select(F.col("symbol").alias("_symbol"), F.col("common_unit").alias("_u1"), F.col("factor").alias("_f1"))
-               .dropDuplicates(["_symbol"])), "_symbol", "left",
-    ).join(
-        _small(usual.select(F.col("symbol").alias("_container"), F.upper("country_code").alias("_cc"), F.col("common_unit").alias("_u2"),
-                            F.col("factor").alias("_f2")).dropDuplicates(["_container", "_cc"])), ["_container", "_cc"], "left",
-    ).join(
-        _small(sub.select(F.upper("country_code").alias("_cc"), F.lower("symbol").alias("_sub"), F.col("common_unit").alias("_cur"),
-                          F.col("factor").alias("_fsub")).dropDuplicates(["_cc"])), "_cc", "left",
-    )
-    plain_code = F.trim(F.regexp_replace(F.regexp_replace(code, r"[.]", ""), r"\s+", " "))
-    df = df.withColumn("_code", plain_code)
-    # thousands and subunits, then the whole currency that remains
-    c = F.col("_code")
-    thousands = c.rlike(r"(^thousands? | thousands?$| '?000$)")
-    whole = F.regexp_replace(c, r"^thousands? (?:of )?| thousands?$| '?000$", "")
-    subunit = F.coalesce(F.regexp_replace(c, r"[()]", "").rlike(r"(^| )") & (
-        F.regexp_replace(F.regexp_extract(c, r"([^ ()]+)\)?$", 1), "s$", "") == F.regexp_replace(F.col("_sub"), "s$", "")
-    ), F.lit(False))
-    iso = _lookup(CURRENCIES, whole)
-    local = iso.isNotNull() & (iso != "USD") & F.coalesce(iso == F.col("_cur"), F.lit(True))
-    df = df.withColumn(
-        "currency_factor",
-        F.when(names_none(F.col("currency")), 1.0)
-        .when(subunit, F.col("_fsub"))
-        .when(iso == "USD", F.when(thousands, 1000.0).otherwise(1.0) * F.col("exchange_rate"))
-        .when(local, F.when(thousands, 1000.0).otherwise(1.0)),
-    )
+    ref = ref.groupBy("measure", "symbol", "country_code").agg(F.min(F.struct("common_unit", "factor")).alias("r")).select("measure", "symbol", "country_code", "r.common_unit", "r.factor")
+    one = lambda rows, by, *columns: rows.select(*by, F.struct(*columns).alias("s")).groupBy(*[c for c in rows.select(*by).columns]).agg(F.min("s").alias("s"))
+    everywhere = one(ref.where((F.col("measure") != "currency") & F.col("country_code").isNull()), [F.col("symbol").alias("_symbol")], F.col("common_unit").alias("_u1"), F.col("factor").alias("_f1")).select("_symbol", "s.*")
+    usual = one(
+        ref.where((F.col("measure") != "currency") & F.col("country_code").isNotNull()), [F.col("symbol").alias("_container"), F.upper("country_code").alias("_cc")],
+        F.col("common_unit").alias("_u2"), F.col("factor").alias("_f2"),
+    ).select("_container", "_cc", "s.*")
+    sub = one(
+        ref.where((F.col("measure") == "currency") & F.col("country_code").isNotNull()), [F.upper("country_code").alias("_cc")],
+        F.lower("symbol").alias("_sub"), F.col("common_unit").alias("_cur"), F.col("factor").alias("_fsub"),
+    ).select("_cc", "s.*")
+
+    spelled = cut_lineage(_units(df.select("_key").distinct(), everywhere))
+    money = cut_lineage(_currencies(df.select("_cc", "_money").distinct(), _small(sub)))
+    df = df.join(broadcast_within(spelled), "_key", "left").join(_small(usual), ["_container", "_cc"], "left")
+    small = broadcast_within(money)
+    df = df.join(small, df["_cc"].eqNullSafe(small["_cc2"]) & df["_money"].eqNullSafe(small["_money2"]), "left")
     value = F.when(~F.isnan(F.col("value").cast("double")), F.col("value").cast("double"))
+    factor = F.col("_quantity") * F.coalesce("_f1", "_f2")
     df = df.withColumns({
-        "to_unit": F.coalesce("_u1", "_u2"),
-        "unit_factor": F.col("_quantity") * F.coalesce("_f1", "_f2"),
-        "unit_from": F.when(F.col("_own"), "row").when(F.col("_symbol").isNotNull() | F.col("_container").isNotNull(), "series"),
+        "to_unit": F.coalesce("_u1", "_u2"), "unit_factor": F.when(factor > 0, factor), "unit_from": F.when(F.col("_own"), "row").when(F.col("_named"), "series"),
+        "currency_factor": F.col("_scale") * F.when(F.col("_usd"), F.col("exchange_rate")).otherwise(1.0),
     })
-    df = df.withColumn("unit_factor", F.when(F.col("unit_factor") > 0, F.col("unit_factor")))
     df = df.withColumn("converted_price", value * F.col("currency_factor") / F.col("unit_factor"))
     df = df.withColumn(
         "status",
@@ -219,7 +227,7 @@ def convert_prices(prices: DataFrame, reference: DataFrame) -> DataFrame:
         .when(F.col("currency_factor").isNull(), "currency_unknown")
         .otherwise("converted"),
     )
-    return df.drop("_own", "_cc", "_symbol", "_container", "_quantity", "_u1", "_f1", "_u2", "_f2", "_sub", "_cur", "_fsub", "_code")
+    return df.drop("_own", "_cc", "_money", "_key", "_named", "_container", "_quantity", "_u1", "_f1", "_u2", "_f2", "_cc2", "_money2", "_scale", "_usd")
 
 
 MAX_TRAINING_ROWS = 20_000  # bound of the labelled sample that the classifier is fitted and calibrated on

@@ -22,9 +22,10 @@ def p4_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows whose common_unit_price is more than 5 % off the converted price."""
+    """Rows whose common_unit_price is more than 5 % off the converted price; by the unit that the row or its series names, else
+    by the one that the classifier is sure of."""
     off = F.abs(F.col("common_unit_price") - F.col("converted_price")) > 0.05 * F.col("converted_price")
-    return p4_prices(spark, sf_dir).where((F.col("status") == "converted") & ~F.isnan("common_unit_price") & off).select("id").distinct()
+    return p4_prices(spark, sf_dir).where(F.col("status").isin("converted", "imputed") & ~F.isnan("common_unit_price") & off).select("id").distinct()
 
 
 def p4_imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +37,19 @@ def p4_imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p4_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the classifier does on rows it was not fitted on: those whose unit only the series' name tells. Rows, right units and
+    right sizes per decision, and the mean confidence."""
+    at = Sources(spark, sf_dir)
+    judged = impute_units(convert_prices(at.table(PRICES), at.table(REFERENCE))).where("unit_from = 'series' and unit_factor is not null")
+    right = F.col("to_unit") == F.col("model_unit")
+    size = right & (F.abs(F.col("unit_factor") / F.col("model_factor") - 1) < 1e-3)
+    return judged.groupBy("decision").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg(F.coalesce(right, F.lit(False)).cast("int")), 4).alias("unit_right"), F.round(F.avg(F.coalesce(size, F.lit(False)).cast("int")), 4).alias("size_right"),
+        F.round(F.avg("confidence"), 4).alias("confidence"),
+    )
+
+
 def _prices_sql() -> str:
     """CTEs ending in ``p``: every price row with unit_factor, currency_factor and converted_price."""
     q = lambda s: "'" + s.replace("'", "''") + "'"

@@ -25,6 +25,7 @@ def queries() -> dict[str, Query]:
         "p4_prices": market_prices.p4_prices,
         "p4_found": market_prices.p4_found,
         "p4_imputed": market_prices.p4_imputed,
+        "p4_calibration": market_prices.p4_calibration,
         "p5_grid": air_quality.p5_grid,
         "p5_found": air_quality.p5_found,
         "p6_flags": air_quality.p6_flags,
