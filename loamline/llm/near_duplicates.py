@@ -173,8 +173,10 @@ def near_duplicate_groups(
     Null ids give no rows. Records without shingles are linked by their key only. Repeated rows count once. An empty table
     gives none. Other columns are ignored, whatever their names.
     """
-    base = records.select(F.col(record_id).cast("long").alias("_id"), shingles.alias("_sh"), (same_key if same_key is not None else F.lit(None).cast("string")).alias("_key"))
-    base = base.where(F.col("_id").isNotNull()).dropDuplicates(["_id", "_sh", "_key"])
+    base = records.select(
+        F.col(record_id).cast("long").alias("_id"), F.transform(shingles, lambda s: F.xxhash64(s)).alias("_sh"), (same_key if same_key is not None else F.lit(None).cast("string")).alias("_key")
+    )
+    base = cut_lineage(base.where(F.col("_id").isNotNull()).dropDuplicates(["_id", "_sh", "_key"]))  # texts and addresses are parsed once
     with_words = base.where(F.size("_sh") > 0)
     sets = with_words.groupBy(F.col("_sh").alias("shingles")).agg(F.min("_id").alias("set_id"))
     close = linked_sets(sets, threshold, weighted=weighted)
