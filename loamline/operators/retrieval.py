@@ -9,7 +9,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_QUERY_BLOCK = 2_048  # query vectors that one pass holds against the collection
+from loamline.session import broadcast_within, cut_lineage
+
+MAX_QUERY_BLOCK = 2_048  # queries that one pass holds against the collection
+MAX_TERM_BLOCK = 256  # queries by terms that one pass holds: a matrix of queries and their terms
+MAX_TERMS = 200_000  # distinct terms of queries up to which they are broadcast
 RRF_K = 60  # constant of the fusion; the store that the design follows does not publish its own
 
 
@@ -76,21 +80,66 @@ def bm25_topk(
 ) -> DataFrame:
     """``(query, item, score, rank)`` by BM25: distinct query terms, idf = ln(1 + (N - df + 0.5) / (df + 0.5)).
 
-    Only terms that some query asks for are kept of the postings, before any shuffle; term frequencies are pre-aggregated.
+    Only terms that some query asks for are kept of the postings, before any shuffle; term frequencies are pre-aggregated, and
+    one row per document holds what is left of it. The queries are the stated set: blocks of them are multiplied with Arrow
+    batches of these rows, and every batch gives its own k best, so that a common word never gives a row for each document and
+    query. Null items, texts and queries are skipped; ties go to the lower item.
     """
-    docs = documents.select(F.col(item).alias("i"), terms(F.col(text)).alias("t")).where("i is not null and t is not null")
-    sizes = docs.select("i", F.size("t").alias("n"))
-    total = sizes.agg(F.count(F.lit(1)).alias("N"), F.avg("n").alias("avg")).first()
+    docs = documents.select(F.col(item).cast("long").alias("i"), terms(F.col(text)).alias("t")).where("i is not null and t is not null")
+    asked = queries.select(F.col(query).cast("long").alias("q"), F.explode(F.array_distinct(terms(F.col(query_text)))).alias("term")).where("q is not null")
+    asked = cut_lineage(asked.distinct())
+    wanted = broadcast_within(asked.select("term").distinct(), MAX_TERMS)
+    total = docs.agg(F.count(F.lit(1)).alias("N"), F.avg(F.size("t")).alias("avg")).first()
     n_docs, mean = int(total["N"]), float(total["avg"] or 1.0)
-    asked = queries.select(F.col(query).alias("q"), F.explode(F.array_distinct(terms(F.col(query_text)))).alias("term"))
-    wanted = asked.select("term").distinct()
     tf = docs.select("i", F.size("t").alias("n"), F.explode("t").alias("term")).join(wanted, "term", "left_semi").groupBy("i", "n", "term").agg(F.count(F.lit(1)).alias("tf"))
+    tf = cut_lineage(tf)
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    number = asked.select("term").distinct().withColumn("x", F.xxhash64("term"))
     idf = F.log1p((F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("n") / mean))
-    scored = tf.join(df, "term").select("i", "term", weight.alias("w")).join(asked, "term").groupBy("q", "i").agg(F.round(F.sum("w"), 6).alias("score"))
+    postings = tf.join(broadcast_within(cut_lineage(df.join(number, "term")), MAX_TERMS), "term").groupBy("i").agg(F.collect_list(F.struct(F.col("x"), weight.alias("w"))).alias("p"))
+    postings = postings.select("i", F.col("p.x").alias("x"), F.col("p.w").alias("w"))
+    n_queries = asked.select("q").distinct().count()
+    blocks = max(1, -(-n_queries // (MAX_TERM_BLOCK // 2))) if n_queries > MAX_TERM_BLOCK else 1
+    postings = postings if blocks == 1 else cut_lineage(postings)
+    out = None
+    for block in range(blocks):
+        part = asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == block)
+        held = part.select("q", F.xxhash64("term").alias("x")).toPandas()
+        found = postings.mapInArrow(_bm25_batches(held["q"].to_numpy(np.int64), held["x"].to_numpy(np.int64), k), "q long, i long, score double")
+        out = found if out is None else out.union(found)
     w = Window.partitionBy("q").orderBy(F.desc("score"), "i")
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).withColumnsRenamed({"q": query, "i": item})
+    return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).withColumnsRenamed({"q": query, "i": item})
+
+
+def _bm25_batches(queries: np.ndarray, asked: np.ndarray, k: int):  # noqa: ANN202
+    ids, row = np.unique(queries, return_inverse=True)
+    known, column = np.unique(asked, return_inverse=True)
+    cells = 2_000_000  # of the matrices that are held at once
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not len(ids):
+            return
+        matrix = np.zeros((len(ids), len(known)))
+        matrix[row, column] = 1.0
+        for whole in batches:
+            step = max(1, cells // max(len(known), len(ids)))
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                items, x, w = batch.column(0).to_numpy(), batch.column(1), batch.column(2)
+                lengths = np.diff(np.asarray(x.offsets))
+                terms, weights = x.flatten().to_numpy(), w.flatten().to_numpy()
+                place = np.minimum(np.searchsorted(known, terms), len(known) - 1)
+                mine = known[place] == terms
+                block = np.zeros((len(items), len(known)))
+                block[np.repeat(np.arange(len(items)), lengths)[mine], place[mine]] = weights[mine]
+                scores = np.round(matrix @ block.T, 6)
+                order = np.lexsort((np.tile(items, (len(ids), 1)), -scores), axis=1)[:, :k]
+                best = scores[np.arange(len(ids))[:, None], order]
+                q, j = np.nonzero(best > 0)
+                yield pa.record_batch([pa.array(ids[q]), pa.array(items[order[q, j]]), pa.array(best[q, j])], names=["q", "i", "score"])
+
+    return run
 
 
 def rrf(branches: list[DataFrame], query: str, item: str, k: int) -> DataFrame:
