@@ -78,7 +78,7 @@ def _prices_sql() -> str:
  CASE kind WHEN 'sized' THEN {part('sized', 1)} ELSE '' END AS times, CASE kind WHEN 'sized' THEN {part('sized', 4)} ELSE '' END AS tail FROM c),
  e AS (SELECT d.*, ({number('num')}) * ({number('times')}) AS quantity, CASE WHEN kind <> 'bare' AND (tail = '' OR num <> '') THEN std.symbol END AS symbol, CASE WHEN kind = 'bare' THEN con.symbol END AS container
  FROM d LEFT JOIN std ON std.word = d.word LEFT JOIN con ON con.word = d.word),
- f AS (SELECT e.*, coalesce(r1.factor, r2.factor) AS f, r3.factor AS fsub, r3.common_unit AS own_cur, lower(r3.symbol) AS sub, ({whole}) AS money FROM e
+ f AS (SELECT e.*, coalesce(r1.factor, r2.factor) AS f, coalesce(r1.common_unit, r2.common_unit) AS to_unit, r3.factor AS fsub, r3.common_unit AS own_cur, lower(r3.symbol) AS sub, ({whole}) AS money FROM e
  LEFT JOIN ref r1 ON r1.measure <> 'currency' AND r1.country_code IS NULL AND r1.symbol = e.symbol LEFT JOIN ref r2 ON r2.measure <> 'currency' AND r2.country_code = cc AND r2.symbol = e.container
  LEFT JOIN ref r3 ON r3.measure = 'currency' AND r3.country_code = cc),
  g AS (SELECT f.*, cur.iso, CASE WHEN regexp_matches(code, '(^thousands? | thousands?$| ''?000$)') THEN 1000.0 ELSE 1.0 END AS scale,
@@ -88,7 +88,14 @@ def _prices_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    number = "CASE WHEN NOT isnan(value) THEN value END"
+    factor = "CASE WHEN unit_factor > 0 THEN unit_factor END"
+    source = "CASE WHEN own THEN 'row' WHEN symbol IS NOT NULL OR container IS NOT NULL THEN 'series' END"
     return {
+        "p4_prices": (
+            f"WITH {_prices_sql()} SELECT CAST(id AS BIGINT) AS id, unit, currency, value, common_unit_price, to_unit, {factor} AS unit_factor, {source} AS unit_from, currency_factor, {number} * currency_factor / ({factor}) AS converted_price, "
+            f"CASE WHEN {number} IS NULL THEN 'no_value' WHEN {source} IS NULL THEN 'no_unit' WHEN {factor} IS NULL THEN 'unit_unknown' WHEN currency_factor IS NULL THEN 'currency_unknown' ELSE 'converted' END AS status, CAST(NULL AS DOUBLE) AS confidence FROM p"
+        ),
         "p4_found": (
             f"WITH {_prices_sql()} SELECT DISTINCT CAST(id AS BIGINT) AS id FROM p WHERE NOT isnan(value) AND NOT isnan(common_unit_price) AND unit_factor > 0 "
             "AND abs(common_unit_price - value * currency_factor / unit_factor) > 0.05 * (value * currency_factor / unit_factor)"
