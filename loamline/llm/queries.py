@@ -12,7 +12,7 @@ from loamline.llm.main_content import main_content_lines, main_content_text
 from loamline.llm.mixing import mix_sources, tokens_of
 from loamline.llm.near_duplicates import near_duplicate_groups, words_of
 from loamline.llm.residue import drop_residue, residue_of
-from loamline.llm.splitting import split_oversized
+from loamline.llm.splitting import split_oversized, token_count
 from loamline.llm.subjects import subject_shares
 
 TITLE_ALIKE = 0.6
@@ -81,6 +81,14 @@ def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_oversized(chunks, "text", "doc_kind", at.table("chunk_profiles"), ["id", "ingest_version", "doc_kind"])
 
 
+def p1_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the pieces of every chunk add up to: its characters, repeated ones aside, and whether all are within the limit."""
+    limits = Sources(spark, sf_dir).table("chunk_profiles").select("doc_kind", "max_tokens")
+    pieces = p1_pieces(spark, sf_dir).join(F.broadcast(limits), "doc_kind", "left")
+    within = F.coalesce(token_count(F.col("piece")) <= F.col("max_tokens"), F.lit(True))
+    return pieces.groupBy("id", "ingest_version", "doc_kind").agg(F.sum(F.char_length("piece") - F.col("overlap_chars")).alias("chars"), F.every(within).alias("within"))
+
+
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks that had to be cut."""
     return p1_pieces(spark, sf_dir).where((F.col("n_pieces") > 1) & F.col("id").isNotNull()).select("id").distinct()
