@@ -119,8 +119,7 @@ _ERROR = re.compile(
     r"\b(?:down|closed) for maintenance\b|\bunder maintenance\b|\ben maintenance\b|\bem manutenção\b|\bcome back later\b|\btry again (?:later|in)\b|\breload to try\b|"
     r"\bconfirm that you are (?:a )?human\b|\b(?:you are|are you) (?:not )?a (?:ro)?bot\b|\bverify (?:that )?you(?:'re| are)\b|\bchecking your browser\b|\bcaptcha\b|"
     r"\bsession (?:has |is )?(?:expired|timed out|ended)\b|\b(?:sign|log) in again\b|\b(?:could|can) ?not be (?:shown|displayed|viewed|found|loaded|rendered)\b|\bplease upgrade\b|"
-    r"\bonyesho\b|\bhaujapatikana\b|\bsession expirée\b|\bsessão expir\w+|\b(?:not|aren't) supported by your (?:viewer|browser)\b|"
-    r"\bone more step\b|\bmoved or no longer\b|\bfollowed an old link\b|\blooked everywhere\b|\bwhy am i seeing this\b|\bwrong address\b|\bcould not complete the request\b",
+    r"\bonyesho\b|\bhaujapatikana\b|\bsession expirée\b|\bsessão expir\w+|\b(?:not|aren't) supported by your (?:viewer|browser)\b|\bone more step\b|\bwrong address\b",
     re.I,
 )
 # A notice about the comments under an article is furniture, not a demand in place of it.
