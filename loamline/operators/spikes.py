@@ -110,28 +110,23 @@ def _buckets(rest: np.ndarray) -> np.ndarray:
 
 
 class _Found:
-    """Columns of one block's result."""
+    """Columns of one block's result: a row for each kind, measure and context, its readings or buckets in arrays."""
 
     def __init__(self) -> None:
         self.kind, self.measure, self.context, self.ids, self.far, self.gap, self.buckets, self.counts = [], [], [], [], [], [], [], []
 
     def add(self, kind, measure, context, ids, far, gap, buckets, counts) -> None:  # noqa: ANN001
-        n = len(context)
-        self.kind += [kind] * n
-        self.measure += [measure] * n
-        self.context += context
-        self.ids += ids
-        self.far += far
-        self.gap += gap
-        self.buckets += buckets
-        self.counts += counts
+        for column, value in (
+            (self.kind, kind), (self.measure, measure), (self.context, context), (self.ids, ids), (self.far, far), (self.gap, gap), (self.buckets, buckets), (self.counts, counts)
+        ):
+            column.append(value)
 
     def table(self, source: int) -> pa.Table:
         n = len(self.kind)
         return pa.table(
             [
                 pa.array(self.kind, pa.string()), pa.array([source] * n, pa.int64()), pa.array(self.measure, pa.string()),
-                pa.array(self.context, pa.int32()), pa.array(self.ids, pa.int64()), pa.array(self.far, pa.float64()), pa.array(self.gap, pa.float64()),
+                pa.array(self.context, pa.int32()), pa.array(self.ids, pa.list_(pa.int64())), pa.array(self.far, pa.list_(pa.float64())), pa.array(self.gap, pa.list_(pa.float64())),
                 pa.array(self.buckets, pa.list_(pa.int32())), pa.array(self.counts, pa.list_(pa.int64())),
             ],
             names=["kind", "_s", "measure", "_context", "_id", "far", "gap", "buckets", "counts"],
@@ -181,21 +176,22 @@ def _block(rows: pa.Table, measures: dict[str, Measure], min_run: int) -> pa.Tab
             if use.any():
                 steps = np.abs(np.diff(single[usable]))
                 steps = steps[steps > 0.5 * 10.0**-DECIMALS]
-                least = float(steps.min()) if len(steps) else None
+                least = [float(steps.min())] if len(steps) else []
                 shift = 1 << 20
                 keys, counts = np.unique(context[fresh][usable][use].astype(np.int64) * 2 * shift + _buckets(rest[use]) + shift, return_counts=True)
                 for hour in np.unique(keys // (2 * shift)):
                     mine = keys // (2 * shift) == hour
-                    out.add(SKETCH, name, [int(hour)], [None], [least], [None], [(keys[mine] % (2 * shift) - shift).tolist()], [counts[mine].tolist()])
+                    out.add(SKETCH, name, int(hour), None, least, None, (keys[mine] % (2 * shift) - shift).tolist(), counts[mine].tolist())
         for kind, marked in ((SPIKE, spike), (STUCK, stuck)):
             hit = marked[one] & own
-            if hit.any():
-                n = int(hit.sum())
-                out.add(kind, name, context[hit].tolist(), ids[hit].tolist(), far[one][hit].tolist(), gap[one][hit].tolist(), [None] * n, [None] * n)
+            for hour in np.unique(context[hit]):
+                mine = hit & (context == hour)
+                what = (far[one][mine], gap[one][mine]) if kind == SPIKE else (None, None)
+                out.add(kind, name, int(hour), ids[mine], *what, None, None)
     return out.table(rows.column("_s")[0].as_py() if rows.num_rows else 0)
 
 
-_OUT = "kind string, _s long, measure string, _context int, _id long, far double, gap double, buckets array<int>, counts array<long>"
+_OUT = "kind string, _s long, measure string, _context int, _id array<long>, far array<double>, gap array<double>, buckets array<int>, counts array<long>"
 _PARTS = 60  # parts of a slot in which readings are told apart when halos are measured
 _SLOTS = (3600, 60, 1)  # seconds; a finer one where a slot holds more than a block
 
@@ -311,7 +307,7 @@ def flag_implausible(
     k = ["_s", "measure"]
     merged = (
         found.where(F.col("kind") == SKETCH)
-        .select(*k, F.explode(F.array("_context", F.lit(WHOLE_DAY))).alias("_context"), "far", F.arrays_zip("buckets", "counts").alias("z"))
+        .select(*k, F.explode(F.array("_context", F.lit(WHOLE_DAY))).alias("_context"), F.get("far", 0).alias("far"), F.arrays_zip("buckets", "counts").alias("z"))
         .select(*k, "_context", "far", F.explode("z").alias("z"))
         .groupBy(*k, "_context", F.col("z.buckets").alias("bucket"))
         .agg(F.sum("z.counts").alias("n"), F.min("far").alias("step"))
@@ -326,8 +322,9 @@ def flag_implausible(
     fences = sketches.select(*k, "_context", size(own("b1")).alias("q1"), size(own("b3")).alias("q3"), F.min("step").over(day).alias("step"))
     limit = F.when(F.col("far") > 0, F.col("q3")).otherwise(-F.col("q1")) + fence * (F.col("q3") - F.col("q1"))
     spikes = (
-        found.where(F.col("kind") == SPIKE).join(fences, [*k, "_context"]).where((F.abs("far") > limit) & (F.col("gap") > fence * F.coalesce("step", F.lit(0.0))))
+        found.where(F.col("kind") == SPIKE).join(fences, [*k, "_context"]).withColumn("z", F.explode(F.arrays_zip("_id", "far", "gap")))
+        .select("measure", "q1", "q3", "step", "z.*").where((F.abs("far") > limit) & (F.col("gap") > fence * F.coalesce("step", F.lit(0.0))))
         .select("_id", "measure", F.lit(SPIKE).alias("reason"))
     )
-    stuck = found.where(F.col("kind") == STUCK).select("_id", "measure", F.lit(STUCK).alias("reason"))
+    stuck = found.where(F.col("kind") == STUCK).select(F.explode("_id").alias("_id"), "measure", F.lit(STUCK).alias("reason"))
     return impossible.unionByName(spikes).unionByName(stuck).withColumnRenamed("_id", row_id)
