@@ -116,6 +116,7 @@ _ERROR = re.compile(
     r"\berror establishing\b|\b(?:database|query|connection) (?:error|failed|refused|timed out)\b|\b(?:query|request|connection) (?:failed|timed out)\b|"
     r"\btimeout after\b|\b(?:request|reference|ray|incident|trace|error) (?:id|code|#)|\bcontact the administrator\b|"
     r"\b(?:text )?extraction failed\b|\b(?:could not|unable to|failed to|cannot) (?:be )?(?:extract|load|open|read|render|decode|parse|display|repair)\w*\b|"
+    r"\b(?:could not|unable to|failed to|cannot) (?:complete|process|fulfil|handle|serve) (?:the|this|your) request\b|"
     r"\b(?:down|closed) for maintenance\b|\bunder maintenance\b|\ben maintenance\b|\bem manutenção\b|\bcome back later\b|\btry again (?:later|in)\b|\breload to try\b|"
     r"\bconfirm that you are (?:a )?human\b|\b(?:you are|are you) (?:not )?a (?:ro)?bot\b|\bverify (?:that )?you(?:'re| are)\b|\bchecking your browser\b|\bcaptcha\b|"
     r"\bsession (?:has |is )?(?:expired|timed out|ended)\b|\b(?:sign|log) in again\b|\b(?:could|can) ?not be (?:shown|displayed|viewed|found|loaded|rendered)\b|\bplease upgrade\b|"

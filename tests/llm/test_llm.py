@@ -514,3 +514,9 @@ def test_hot_buckets_lose_no_group(spark, monkeypatch, weighted):
         got = near_duplicates.near_duplicate_groups(df, "item", near_duplicates.words_of("title"), threshold=0.65, weighted=weighted, alone=True)
         got = {r["item"]: r["grp"] for r in got.collect()}
         assert sum(got[i] == want[i] for i in bags) >= 0.99 * len(bags)
+
+
+def test_a_failed_request_between_headings_of_other_stories():
+    page = "Home\nMarkets\n429 Too Many Requests\nThe server could not complete the request.\nVaccines reach Nyakuatan and nine other towns; herders queue at the market\n"
+    assert residue.judge(page).reason == "error"
+    assert residue.judge("The council could not process the request of the growers in May, it said.\nIt will hear them again in June, the mayor told this paper.\nNo date was given by the office so far.").reason == ""
