@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loamline.catalog import Sources
 from loamline.functions.geo import MERCATOR_LIMIT, grid, latitude_of, longitude_of
-from loamline.session import cut_lineage
+from loamline.operators.places import nearest
 
 YEARS = list(range(1992, 1999))
 _ITEMS = ["Agricultural land", "Fertilizers by nutrient", "Pesticides use", "Other"]
@@ -121,43 +121,14 @@ def partition_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nearest_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest supplier place of every customer place, planar degrees; ties go to the lower key.
 
-    Places are bucketed into square cells; each asks the nine cells around it, and again with cells twice as large, until its
-    best distance is below the cell's size, so no pair of far places is formed.
+    The supplier places are sent to the tasks as a tree of boxes, in blocks of bounded size; no pairs are shuffled.
     """
     return nearest(
         Sources(spark, sf_dir).table("customer").select(F.col("c_custkey").alias("id"), (F.col("c_custkey") * 37 % 6000 / 100 - 30).alias("lat"), (F.col("c_custkey") * 53 % 9000 / 100 - 45).alias("lon")),
         Sources(spark, sf_dir).table("supplier").select(F.col("s_suppkey").alias("site"), ((F.col("s_suppkey") * 31 % 6000) / 100 - 30).alias("lat"), ((F.col("s_suppkey") * 17 % 9000) / 100 - 45).alias("lon")),
-        cell=10.0,
     )
 
 
-def nearest(points: DataFrame, sites: DataFrame, cell: float) -> DataFrame:
-    """``(id, site, distance)`` for points ``(id, lat, lon)`` and sites ``(site, lat, lon)``: k = 1, squared planar metric, ties to
-    the lower site. Missing and infinite coordinates on either side give no rows; without sites there are none.
-
-    Exact for every point however far away its site lies: points that a round does not settle go on with cells twice as large, of
-    which nine hold all sites in the end. Rounds grow as the logarithm of the extent, and each explodes a point nine times only.
-    """
-    finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
-    clean = lambda d: d.where(finite("lat") & finite("lon"))
-    at = lambda c: F.floor(F.col(c) / cell)
-    known = cut_lineage(clean(sites).select("site", F.col("lat").alias("slat"), F.col("lon").alias("slon")))
-    open_points, found = clean(points).select("id", "lat", "lon"), None
-    around = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)]))
-    while True:
-        asked = open_points.withColumn("s", around).select("id", "lat", "lon", (at("lat") + F.col("s.a")).alias("cy"), (at("lon") + F.col("s.b")).alias("cx"))
-        pairs = asked.join(known.withColumns({"cy": at("slat"), "cx": at("slon")}), ["cy", "cx"])
-        d2 = F.pow(F.col("lat") - F.col("slat"), 2) + F.pow(F.col("lon") - F.col("slon"), 2)
-        best = pairs.groupBy("id").agg(F.min(F.struct(d2.alias("d2"), F.col("site").alias("site"))).alias("m")).select("id", F.col("m.site").alias("site"), F.sqrt("m.d2").alias("distance"))
-        best = cut_lineage(best)
-        sure = best.where(F.col("distance") <= F.lit(cell))  # nothing outside the nine cells can be nearer
-        found = sure if found is None else found.union(sure)
-        rest = cut_lineage(open_points.join(sure.select("id"), "id", "left_anti"))
-        if rest.isEmpty() or known.isEmpty():
-            return found
-        open_points, cell = rest, cell * 2
-
-
 def queries() -> dict:
     return {
         "grid_full_outer": grid_full_outer, "unpivot_measures": unpivot_measures, "land_use_join": land_use_join, "yield_change_topk": yield_change_topk,
